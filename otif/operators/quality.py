@@ -28,17 +28,32 @@ LINEAGE = ("_source_occurrences", "_source_files", "_bronze_loaded_at")
 
 @dataclass
 class Validated:
-    """The validated frame of one source plus what the summary needs."""
+    """Every distinct raw variant of one source, validated.
+
+    ``rows`` holds all variants with ``_dq_errors``; older variants of resolved
+    keys carry ``_superseded`` (and ``_selected_version``) instead of counting
+    as valid or rejected. Valid rows, quarantine, archive and summary are all
+    filters of ``rows``, so staging ``rows`` once serves every output.
+    """
 
     name: str
     spec: TableSpec
-    collapsed: DataFrame          # one row per distinct raw record
-    frame: DataFrame              # remaining rows with ``_dq_errors`` (superseded removed)
-    superseded: DataFrame | None  # older variants of resolved keys
+    rows: DataFrame
+
+    @property
+    def frame(self) -> DataFrame:
+        return self.rows.filter(~F.col("_superseded"))
+
+    @property
+    def superseded(self) -> DataFrame | None:
+        if self.name != VERSION_TABLE:
+            return None
+        return versions.superseded_records(self.rows, self.name, self.spec.key, VERSION_COLUMN)
 
     @property
     def valid(self) -> DataFrame:
-        return self.frame.filter(~has_reasons("_dq_errors")).drop("_dq_errors", "_raw_record")
+        return (self.frame.filter(~has_reasons("_dq_errors"))
+                .drop("_dq_errors", "_raw_record", "_superseded", "_selected_version"))
 
     @property
     def rejected(self) -> DataFrame:
@@ -68,8 +83,7 @@ def validate(name: str, bronze: DataFrame, parents: Mapping[str, DataFrame],
     fields = source_fields(bronze)
     check_contract(name, spec, fields)
 
-    collapsed = versions.collapse_duplicates(bronze, fields)
-    frame = collapsed.select(
+    frame = versions.collapse_duplicates(bronze, fields).select(
         *[normalise_code(c).alias(c) for c in fields], *LINEAGE,
         raw_record(fields).alias("_raw_record"),
     )
@@ -90,15 +104,14 @@ def validate(name: str, bronze: DataFrame, parents: Mapping[str, DataFrame],
                          *[F.col(f"_parsed_{c}").alias(c) for c in spec.dates],
                          *[F.col(c).alias(f"_text_{c}") for c in spec.dates])
 
-    superseded = None
     if name == VERSION_TABLE:
         frame = versions.resolve_versions(frame, spec.key, VERSION_COLUMN)
-        superseded = versions.superseded_records(frame, name, spec.key, VERSION_COLUMN)
-        frame = frame.filter(~F.col("_superseded"))
         conflict = versions.conflicting(F.col("_can_resolve"))
+        selected = F.col("_latest_version")
     else:
-        frame = versions.key_variants(frame, spec.key)
+        frame = versions.key_variants(frame, spec.key).withColumn("_superseded", F.lit(False))
         conflict = versions.conflicting()
+        selected = F.lit(None).cast("date")
     rules.append((conflict, "CONFLICTING_KEY"))
 
     for c in spec.numbers:
@@ -118,7 +131,7 @@ def validate(name: str, bronze: DataFrame, parents: Mapping[str, DataFrame],
     rules += refs.unresolved_rules(lookups)
     rules += refs.agreement_rules(AGREEMENTS.get(name, ()))
 
-    helpers = {"_key_variants", "_latest_version", "_can_resolve", "_superseded"}
+    helpers = {"_key_variants", "_latest_version", "_can_resolve", "_superseded", "_selected_version"}
     keep = [c for c in frame.columns
             if not c.startswith(("_ref_", "_parsed_", "_text_")) and c not in helpers
             and c not in spec.numbers]
@@ -127,8 +140,9 @@ def validate(name: str, bronze: DataFrame, parents: Mapping[str, DataFrame],
         *[F.col(f"_parsed_{c}").alias(c) for c in spec.numbers],
         reasons(rules).alias("_dq_errors"),
         F.current_timestamp().alias("_processed_at"),
+        F.col("_superseded"), selected.alias("_selected_version"),
     )
-    return Validated(name, spec, collapsed, frame, superseded)
+    return Validated(name, spec, frame)
 
 
 def quarantine_rows(v: Validated) -> DataFrame:

@@ -16,23 +16,24 @@ from otif.operators.quality import Validated, union_all
 
 
 def load_summary(validated: Mapping[str, Validated]) -> DataFrame:
-    parts = []
-    for name, v in validated.items():
-        parts.append(v.collapsed.select(F.lit(name).alias("source_table"), F.lit("distinct").alias("_kind"),
-                                        F.col("_source_occurrences").cast("long").alias("_rows")))
-        parts.append(v.frame.select(F.lit(name).alias("source_table"),
-                                    F.when(has_reasons("_dq_errors"), "quarantine").otherwise("silver").alias("_kind"),
-                                    F.lit(0).cast("long").alias("_rows")))
-        if v.superseded is not None:
-            parts.append(v.superseded.select(F.lit(name).alias("source_table"), F.lit("superseded").alias("_kind"),
-                                             F.lit(0).cast("long").alias("_rows")))
-    kind = F.col("_kind")
+    """Per source: raw rows, removed duplicates, distinct, valid, quarantined, superseded.
+
+    Counted from the validated variants in one aggregation job. The
+    reconciliation compares the number of *distinct raw records* (a 128-bit
+    fingerprint of the raw JSON, two longs shuffled per row) with valid +
+    quarantine + superseded, so a lookup that multiplied rows would fail it.
+    """
+    parts = [v.rows.select(F.lit(name).alias("source_table"), "_source_occurrences", "_superseded",
+                           has_reasons("_dq_errors").alias("_rejected"),
+                           F.xxhash64("_raw_record").alias("_h1"), F.hash("_raw_record").alias("_h2"))
+             for name, v in validated.items()]
+    sup, rej = F.col("_superseded"), F.col("_rejected")
     counts = union_all(parts).groupBy("source_table").agg(
-        F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("bronze_rows"),
-        F.count_if(kind == "distinct").alias("distinct_rows"),
-        F.count_if(kind == "silver").alias("silver_rows"),
-        F.count_if(kind == "quarantine").alias("quarantine_rows"),
-        F.count_if(kind == "superseded").alias("superseded_rows"),
+        F.coalesce(F.sum("_source_occurrences"), F.lit(0)).cast("long").alias("bronze_rows"),
+        F.count_distinct("_h1", "_h2").alias("distinct_rows"),
+        F.count_if(~sup & ~rej).alias("silver_rows"),
+        F.count_if(~sup & rej).alias("quarantine_rows"),
+        F.count_if(sup).alias("superseded_rows"),
     )
     return counts.select(
         "source_table", "bronze_rows",

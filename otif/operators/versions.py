@@ -79,7 +79,7 @@ def superseded_records(resolved: DataFrame, source_table: str, key: Sequence[str
         F.to_json(F.struct(*[F.col(k) for k in key])).alias("candidate_key"),
         "_raw_record", "_source_occurrences", "_source_files", "_bronze_loaded_at",
         F.col(version).alias("reference_date"),
-        F.col("_latest_version").alias("selected_reference_date"),
+        F.col("_selected_version").alias("selected_reference_date"),
         F.lit(SELECTION_RULE).alias("selection_rule"),
         F.current_timestamp().alias("_processed_at"),
     )

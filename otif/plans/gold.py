@@ -33,7 +33,9 @@ class Gold:
 
     @cached_property
     def item_keys(self) -> DataFrame:
-        return metrics.distinct_keys(self.bronze["ekpo"], ITEM_KEY)
+        # Every raw record survives as one validated variant with normalised keys,
+        # so the raw key population is read from the (staged) variants.
+        return self.silver.validated["ekpo"].rows.select(*ITEM_KEY).distinct()
 
     @cached_property
     def affected_quarantine(self) -> DataFrame:
@@ -49,8 +51,10 @@ class Gold:
 
     @cached_property
     def details(self) -> DataFrame:
-        return metrics.item_details(self.item_keys, self._valid("ekpo"), self._valid("ekko"),
-                                    self._valid("lfa1"), self._valid("eket"), self.issues)
+        # Read twice (item results and delivery evidence): stage it once.
+        return self._stage(metrics.item_details(self.item_keys, self._valid("ekpo"), self._valid("ekko"),
+                                                self._valid("lfa1"), self._valid("eket"), self.issues),
+                           "gold_item_details")
 
     @cached_property
     def deliveries(self) -> DataFrame:
@@ -73,7 +77,7 @@ class Gold:
 
     @cached_property
     def schedule_candidates(self) -> DataFrame:
-        keys = metrics.distinct_keys(self.bronze["eket"], SCHEDULE_KEY)
+        keys = self.silver.validated["eket"].rows.select(*SCHEDULE_KEY).distinct()
         return self._stage(metrics.schedule_candidates(keys, self._valid("eket"), self.item_performance),
                            "gold_schedule_candidates")
 

@@ -50,8 +50,7 @@ def run_silver(bronze: Mapping[str, DataFrame], stage: Stage | None = None,
             continue
         v = quality.validate(name, bronze[name], parents)
         if stage is not None:
-            v = Validated(v.name, v.spec, v.collapsed, stage(v.frame, f"silver_{name}"),
-                          None if v.superseded is None else stage(v.superseded, f"superseded_{name}"))
+            v = Validated(v.name, v.spec, stage(v.rows, f"silver_{name}"))
         out[name] = v
         parents[name] = v.valid
     return Silver(out)
