@@ -71,13 +71,20 @@ def _any(conds: list[Column]) -> Column:
 
 
 def conservation_violations(allocations: DataFrame, balance: DataFrame, schedules: DataFrame) -> DataFrame:
-    """One row with the three FIFO conservation counts (FIF-5)."""
-    a = allocations.agg(F.count_if(F.col("allocated_quantity").isNull() | (F.col("allocated_quantity") <= 0))
-                        .alias("bad_allocations"))
-    b = balance.agg(F.count_if(F.col("unallocated_quantity").isNull() | (F.col("unallocated_quantity") < 0))
-                    .alias("negative_remainders"))
-    s = schedules.agg(F.count_if(F.col("allocated_quantity") > F.col("schedule_quantity")).alias("overfilled_plans"))
-    return a.crossJoin(b).crossJoin(s)
+    """One row with the three FIFO conservation counts from one tagged aggregation (FIF-5)."""
+    parts = [
+        allocations.select(F.lit("a").alias("_k"), (F.col("allocated_quantity").isNull()
+                                                      | (F.col("allocated_quantity") <= 0)).alias("_bad")),
+        balance.select(F.lit("b").alias("_k"), (F.col("unallocated_quantity").isNull()
+                                                 | (F.col("unallocated_quantity") < 0)).alias("_bad")),
+        schedules.select(F.lit("s").alias("_k"),
+                         F.coalesce(F.col("allocated_quantity") > F.col("schedule_quantity"), F.lit(False)).alias("_bad")),
+    ]
+    k, bad = F.col("_k"), F.col("_bad")
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).agg(
+        F.count_if((k == "a") & bad).alias("bad_allocations"),
+        F.count_if((k == "b") & bad).alias("negative_remainders"),
+        F.count_if((k == "s") & bad).alias("overfilled_plans"))
 
 
 def assert_conserved(allocations: DataFrame, balance: DataFrame, schedules: DataFrame) -> None:
@@ -89,8 +96,12 @@ def assert_conserved(allocations: DataFrame, balance: DataFrame, schedules: Data
 
 def assert_branch_mapping(quarantine: DataFrame, branches: DataFrame) -> None:
     """Stop when the branch reference is quarantined, empty or not unique (FLT-5)."""
-    row = quarantine.filter(F.col("source_table") == "branch_mapping").agg(F.count(F.lit(1)).alias("q")).crossJoin(
-        branches.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("WERKS").alias("d"))).first()
+    q = quarantine.filter(F.col("source_table") == "branch_mapping").select(
+        F.lit("q").alias("_k"), F.lit(None).cast("string").alias("WERKS"))
+    b = branches.select(F.lit("b").alias("_k"), "WERKS")
+    k = F.col("_k")
+    row = q.unionByName(b).agg(F.count_if(k == "q").alias("q"), F.count_if(k == "b").alias("n"),
+                               F.count_distinct(F.when(k == "b", F.col("WERKS"))).alias("d")).first()
     if row.q:
         raise ValueError("Fix quarantined branch mapping records before publishing Gold.")
     if row.n == 0 or row.n != row.d:
