@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from otif.model import ITEM_KEY, Params  # noqa: E402
+from otif.model import ITEM_KEY, BINDING_PARAMS  # noqa: E402
 from otif.operators import fifo, metrics, ranking  # noqa: E402
 from otif.plans import profile_queries  # noqa: E402
 from otif.plans.registry import Context, q_version_resolution  # noqa: E402
@@ -29,7 +29,7 @@ from otif.session import build_session  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 REPEAT = int(os.environ.get("BENCH_REPEAT", "3"))
-PARAMS = Params()
+PARAMS = BINDING_PARAMS
 
 
 def run(df) -> None:

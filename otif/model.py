@@ -162,9 +162,14 @@ MAPPING_NOT_APPLICABLE = "NOT_APPLICABLE"
 class Params:
     """Run parameters: evaluation cutoff and minimum evaluated lines for ranking."""
 
-    as_of: dt.date = dt.date(2001, 6, 30)
+    as_of: dt.date = dt.date(2026, 9, 30)
     min_items: int = 1
 
     def __post_init__(self):
         if self.min_items < 1:
             raise ValueError("min_items must be at least 1")
+
+
+# Cutoff of the shared-table binding: its order dates run to 2001-08, so this
+# leaves the last months open and every exclusion path populated.
+BINDING_PARAMS = Params(as_of=dt.date(2001, 6, 30))

@@ -9,10 +9,10 @@ join for FIFO) that the Spark side deliberately avoids for scale.
 
 from __future__ import annotations
 
-from otif.model import (AGREEMENTS, DELETED_FLAG, NUMBER_PATTERN, REFERENCES, SPECS, UPPERCASE_FIELDS, Params)
+from otif.model import (AGREEMENTS, DELETED_FLAG, NUMBER_PATTERN, REFERENCES, SPECS, UPPERCASE_FIELDS, BINDING_PARAMS)
 from otif.sources.bindings import EXTRACTS, duckdb_extract
 
-PARAMS = Params()
+PARAMS = BINDING_PARAMS
 AS_OF = f"DATE '{PARAMS.as_of.isoformat()}'"
 BRANCH = "2100"
 

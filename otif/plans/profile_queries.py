@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from otif.model import ITEM_KEY, SPECS, Params
+from otif.model import ITEM_KEY, SPECS, BINDING_PARAMS
 from otif.operators import profile
 from otif.plans.oracle import RAW_FIELDS, date_sql, dbl, number_sql
 from otif.plans.registry import comparable, context
 from otif.sources.bindings import duckdb_extract
 
-PARAMS = Params()
+PARAMS = BINDING_PARAMS
 
 
 def _raws(spark, sf):

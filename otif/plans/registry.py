@@ -11,7 +11,6 @@ shared checkpoint folder and reused by later queries of the same session.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
@@ -22,7 +21,7 @@ from pyspark.sql import types as T
 
 from otif.functions import normalise, normalise_code, parse_date, parse_number
 from otif.functions.reasons import has_reasons, reasons
-from otif.model import ITEM_KEY, SCHEDULE_KEY, SPECS, VERSION_COLUMN, Params
+from otif.model import ITEM_KEY, SCHEDULE_KEY, SPECS, VERSION_COLUMN, BINDING_PARAMS
 from otif.operators import access, checks, datasets, review, versions
 from otif.operators import fifo as fifo_ops
 from otif.operators import metrics as m
@@ -31,7 +30,7 @@ from otif.plans.silver import Silver, run_silver
 from otif.plans.stage import Stager
 from otif.sources.bindings import bronze_extracts
 
-PARAMS = Params()
+PARAMS = BINDING_PARAMS
 REVIEW_BRANCH = "2100"
 
 

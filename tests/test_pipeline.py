@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF0001
-from otif.model import SPECS
+from otif.model import BINDING_PARAMS, SPECS
 from otif.plans.pipeline import run_from_folder
 from otif.plans.registry import QUERIES
 from otif.sources.bindings import bronze_extracts
@@ -30,7 +30,7 @@ def test_extract_contract_is_checked_before_reading(spark, landing, tmp_path):
 
 def test_pipeline_publishes_checked_results(spark, landing):
     out = tempfile.mkdtemp(prefix="otif-out-")
-    result = run_from_folder(spark, landing, out)
+    result = run_from_folder(spark, landing, out, BINDING_PARAMS)
     checks = {r.check_name: r.status for r in result.read(spark, "invariant_checks").collect()}
     assert len(checks) == 9 and set(checks.values()) == {"PASS"}, checks
     summary = result.read(spark, "silver_load_summary").collect()
