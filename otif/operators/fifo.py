@@ -34,13 +34,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from otif.model import ALLOCATION_RULE
-from otif.operators.scan import running_sums
+from otif.operators.scan import MIN_HOT_KEY_ROWS, running_sums
 
 EXACT = "decimal(37,6)"
 
 
-def _with_intervals(df: DataFrame, keys, order, qty: str, prefix: str, slices) -> DataFrame:
-    out = running_sums(df, keys, order, {f"_{prefix}end": F.col(qty), f"_{prefix}cnt": F.lit(1)}, slices)
+def _with_intervals(df: DataFrame, keys, order, qty: str, prefix: str, slices, min_hot_rows) -> DataFrame:
+    out = running_sums(df, keys, order, {f"_{prefix}end": F.col(qty), f"_{prefix}cnt": F.lit(1)}, slices,
+                       min_hot_rows)
     return (out.withColumn(f"_{prefix}start", F.col(f"_{prefix}end") - F.col(qty))
             .withColumn(f"_{prefix}rank", F.col(f"_{prefix}cnt") - 1)
             .drop(f"_{prefix}cnt"))
@@ -54,7 +55,7 @@ def _overlap_quantity() -> F.Column:
 def allocate(plans: DataFrame, deliveries: DataFrame, keys: Sequence[str],
              plan_order: Sequence[str], delivery_order: Sequence[str],
              plan_qty: str, delivery_qty: str, method: str = "sweep",
-             slices: int | None = None) -> DataFrame:
+             slices: int | None = None, min_hot_rows: int = MIN_HOT_KEY_ROWS) -> DataFrame:
     """Pairs (plan, delivery) with ``allocated_quantity`` > 0.
 
     Output: ``keys``, the other plan columns, the other delivery columns (both
@@ -68,7 +69,8 @@ def allocate(plans: DataFrame, deliveries: DataFrame, keys: Sequence[str],
     if clash:
         raise ValueError(f"plan and delivery columns overlap: {sorted(clash)}")
     if method == "sweep":
-        pairs = _sweep(plans, deliveries, keys, plan_order, delivery_order, plan_qty, delivery_qty, slices)
+        pairs = _sweep(plans, deliveries, keys, plan_order, delivery_order, plan_qty, delivery_qty, slices,
+                       min_hot_rows)
     elif method == "overlap":
         pairs = _overlap(plans, deliveries, keys, plan_order, delivery_order, plan_qty, delivery_qty)
     else:
@@ -76,13 +78,13 @@ def allocate(plans: DataFrame, deliveries: DataFrame, keys: Sequence[str],
     return pairs.select(*keys, *plan_cols, *delivery_cols, _overlap_quantity().alias("allocated_quantity"))
 
 
-def _sweep(plans, deliveries, keys, plan_order, delivery_order, plan_qty, delivery_qty, slices):
-    p = _with_intervals(plans, keys, plan_order, plan_qty, "p", slices)
-    d = _with_intervals(deliveries, keys, delivery_order, delivery_qty, "d", slices)
+def _sweep(plans, deliveries, keys, plan_order, delivery_order, plan_qty, delivery_qty, slices, min_hot_rows):
+    p = _with_intervals(plans, keys, plan_order, plan_qty, "p", slices, min_hot_rows)
+    d = _with_intervals(deliveries, keys, delivery_order, delivery_qty, "d", slices, min_hot_rows)
     cuts = (p.select(*keys, F.col("_pend").alias("_cut"), F.lit(1).alias("_np"), F.lit(0).alias("_nd"))
             .unionByName(d.select(*keys, F.col("_dend").alias("_cut"), F.lit(0).alias("_np"), F.lit(1).alias("_nd")))
             .groupBy(*keys, "_cut").agg(F.sum("_np").alias("_np"), F.sum("_nd").alias("_nd")))
-    scanned = running_sums(cuts, keys, ["_cut"], {"_cp": F.col("_np"), "_cd": F.col("_nd")}, slices)
+    scanned = running_sums(cuts, keys, ["_cut"], {"_cp": F.col("_np"), "_cd": F.col("_nd")}, slices, min_hot_rows)
     segments = scanned.select(*keys, (F.col("_cp") - F.col("_np")).alias("_prank"),
                               (F.col("_cd") - F.col("_nd")).alias("_drank"))
     return (segments.join(p, [*keys, "_prank"], "inner")

@@ -17,6 +17,7 @@ def build_session(master: str | None = None, partitions: int | None = None,
     spark = (
         SparkSession.builder.master(master).appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -121,6 +121,16 @@ def test_fractional_random_conservation_and_strategies_agree(spark):
     assert sweep.filter("allocated_quantity <= 0").count() == 0
 
 
+def test_scan_takes_sliced_path_only_for_hot_keys(spark):
+    from otif.operators import scan
+    df = spark.range(5000).select((F.col("id") % 2).alias("k"), F.col("id").alias("o"), F.lit(1).alias("v"))
+    assert scan.key_sizes(df, ["k"]) == (5000, 2500)
+    plain = scan.running_sums(df, ["k"], ["o"], {"s": F.col("v")}, slices=8)
+    sliced = scan.running_sums(df, ["k"], ["o"], {"s": F.col("v")}, slices=8, min_hot_rows=0)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, sliced.collect()))
+    assert sliced.filter("s = o DIV 2 + 1").count() == 5000
+
+
 def test_hot_key_spans_many_slices(spark):
     """One key with thousands of plans and deliveries: sliced scan equals the per-key join."""
     rng = random.Random(7)
@@ -131,6 +141,6 @@ def test_hot_key_spans_many_slices(spark):
     p = spark.createDataFrame(plans, PLAN_SCHEMA)
     q = spark.createDataFrame(deliveries, DELIVERY_SCHEMA)
     args = (KEYS, ["EINDT", "ETENR"], ["WADAT_IST", "VBELN", "POSNR"], "schedule_quantity", "LFIMG")
-    sweep = fifo.allocate(p, q, *args, method="sweep", slices=16)
+    sweep = fifo.allocate(p, q, *args, method="sweep", slices=16, min_hot_rows=0)
     overlap = fifo.allocate(p, q, *args, method="overlap")
     assert sorted(map(tuple, sweep.collect())) == sorted(map(tuple, overlap.collect()))
