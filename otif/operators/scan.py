@@ -25,7 +25,9 @@ def default_slices(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-MIN_HOT_KEY_ROWS = 10_000
+# A key below this many rows is scanned by one task in about a second; slicing
+# it would cost more (sampling, checkpoint, extra shuffle) than it saves.
+MIN_HOT_KEY_ROWS = 1_000_000
 
 
 def key_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
