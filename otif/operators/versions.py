@@ -18,11 +18,18 @@ from otif.model import SELECTION_RULE
 
 
 def collapse_duplicates(bronze: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """One row per identical raw record with multiplicity, sorted file set, first load."""
-    return bronze.groupBy(*fields).agg(
-        F.count(F.lit(1)).alias("_source_occurrences"),
-        F.sort_array(F.collect_set("_source_file")).alias("_source_files"),
-        F.min("_loaded_at").alias("_bronze_loaded_at"),
+    """One row per identical raw record with multiplicity, sorted file set, first load.
+
+    Two levels: a code-generated hash aggregation per (record, file) first, so
+    the file list of a record is built from at most one entry per file (and a
+    record repeated a billion times in one file is one row after the map side).
+    """
+    per_file = bronze.groupBy(*fields, "_source_file").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_loaded_at").alias("_first"))
+    return per_file.groupBy(*fields).agg(
+        F.sum("_n").alias("_source_occurrences"),
+        F.sort_array(F.collect_list("_source_file")).alias("_source_files"),
+        F.min("_first").alias("_bronze_loaded_at"),
     )
 
 
