@@ -6,22 +6,14 @@ cumulative intervals. A plan receives from a delivery exactly the length of
 the overlap of their intervals, so one delivery can fill several plans and
 several deliveries can fill one plan; excess on either side stays unallocated.
 
-Two physical strategies compute the same pairs:
-
-``sweep`` (default, scale path)
-    Running sums give each plan/delivery its interval end and rank. The union
-    of all interval ends ("cuts") per key, merged on equal positions, is
-    scanned once more: the segment ending at a cut belongs to the plan ranked
-    ``#plan ends before the cut`` and the delivery ranked ``#delivery ends
-    before the cut``. Two equi-joins on ``(key, rank)`` — unique on both sides,
-    so even a hot key spreads over all tasks — recover the pairs. Work is
-    O((p + d) log) per key; no per-key pair enumeration.
-
-``overlap``
-    Running sums per key, then an equi-join on the key with the half-open
-    overlap ``s.start < d.end AND d.start < s.end`` as residual. Simple, but it
-    compares every plan with every delivery of a key (p × d), so it is kept as
-    the cross-check and for small inputs only.
+Running sums give each plan/delivery its interval end and rank. The union of
+all interval ends ("cuts") per key, merged on equal positions, is scanned once
+more: the segment ending at a cut belongs to the plan ranked ``#plan ends
+before the cut`` and the delivery ranked ``#delivery ends before the cut``.
+Two equi-joins on ``(key, rank)`` — unique on both sides, so even a hot key
+spreads over all tasks — recover the pairs. Work is O((p + d) log) per key;
+plans and deliveries of a key are never paired exhaustively (the tests check
+the result against a brute-force pairing on small fixtures).
 
 All quantities must be strictly positive, which the quality rules guarantee.
 """
@@ -30,7 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from otif.model import ALLOCATION_RULE
@@ -54,7 +46,7 @@ def _overlap_quantity() -> F.Column:
 
 def allocate(plans: DataFrame, deliveries: DataFrame, keys: Sequence[str],
              plan_order: Sequence[str], delivery_order: Sequence[str],
-             plan_qty: str, delivery_qty: str, method: str = "sweep",
+             plan_qty: str, delivery_qty: str,
              slices: int | None = None, min_hot_rows: int = MIN_HOT_KEY_ROWS) -> DataFrame:
     """Pairs (plan, delivery) with ``allocated_quantity`` > 0.
 
@@ -68,13 +60,8 @@ def allocate(plans: DataFrame, deliveries: DataFrame, keys: Sequence[str],
     clash = set(plan_cols) & set(delivery_cols)
     if clash:
         raise ValueError(f"plan and delivery columns overlap: {sorted(clash)}")
-    if method == "sweep":
-        pairs = _sweep(plans, deliveries, keys, plan_order, delivery_order, plan_qty, delivery_qty, slices,
-                       min_hot_rows)
-    elif method == "overlap":
-        pairs = _overlap(plans, deliveries, keys, plan_order, delivery_order, plan_qty, delivery_qty)
-    else:
-        raise ValueError(f"unknown method {method!r}")
+    pairs = _sweep(plans, deliveries, keys, plan_order, delivery_order, plan_qty, delivery_qty, slices,
+                   min_hot_rows)
     return pairs.select(*keys, *plan_cols, *delivery_cols, _overlap_quantity().alias("allocated_quantity"))
 
 
@@ -91,17 +78,6 @@ def _sweep(plans, deliveries, keys, plan_order, delivery_order, plan_qty, delive
             .join(d, [*keys, "_drank"], "inner"))
 
 
-def _overlap(plans, deliveries, keys, plan_order, delivery_order, plan_qty, delivery_qty):
-    def intervals(df, order, qty, prefix):
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        end = F.sum(qty).over(w)
-        return df.select("*", end.alias(f"_{prefix}end"), (end - F.col(qty)).alias(f"_{prefix}start"))
-
-    p = intervals(plans, plan_order, plan_qty, "p")
-    d = intervals(deliveries, delivery_order, delivery_qty, "d")
-    return p.join(d, [*keys]).filter((F.col("_pstart") < F.col("_dend")) & (F.col("_dstart") < F.col("_pend")))
-
-
 def label_allocations(allocations: DataFrame, due: str = "EINDT") -> DataFrame:
     """Report month of the plan, rule id and inferred flag (FIF-2)."""
     return allocations.select("*", F.trunc(due, "month").alias("report_month"),

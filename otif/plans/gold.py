@@ -22,7 +22,6 @@ class Gold:
     bronze: Mapping[str, DataFrame]
     silver: Silver
     params: Params = Params()
-    fifo_method: str = "sweep"
     stage: Callable[[DataFrame, str], DataFrame] | None = None
 
     def _stage(self, frame: DataFrame, name: str) -> DataFrame:
@@ -87,7 +86,7 @@ class Gold:
             metrics.fifo_plans(self.schedule_candidates),
             metrics.fifo_deliveries(self.deliveries, self.params.as_of),
             keys=ITEM_KEY, plan_order=["EINDT", "ETENR"], delivery_order=["WADAT_IST", "VBELN", "POSNR"],
-            plan_qty="schedule_quantity", delivery_qty="LFIMG", method=self.fifo_method)
+            plan_qty="schedule_quantity", delivery_qty="LFIMG")
         return self._stage(fifo.label_allocations(pairs), "gold_allocations")
 
     @cached_property

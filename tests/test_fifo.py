@@ -1,17 +1,19 @@
-"""FIFO allocation on Spark with exact decimals: the reference cases, both strategies."""
+"""FIFO allocation on Spark with exact decimals: the reference cases and brute-force cross-checks."""
 import datetime as dt
 import random
+from collections import defaultdict
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from otif.operators import fifo
+from otif.operators import fifo, scan
 
 PLAN_SCHEMA = ("MANDT string, EBELN string, EBELP string, ETENR string, EINDT date, "
                "schedule_quantity decimal(38,6), WERKS string, LIFNR string, MATNR string, MEINS string")
 DELIVERY_SCHEMA = "MANDT string, EBELN string, EBELP string, VBELN string, POSNR string, WADAT_IST date, LFIMG decimal(38,6)"
 KEYS = ["MANDT", "EBELN", "EBELP"]
+ARGS = (KEYS, ["EINDT", "ETENR"], ["WADAT_IST", "VBELN", "POSNR"], "schedule_quantity", "LFIMG")
 
 
 def d(text):
@@ -26,74 +28,102 @@ def delivery(did, day, qty, order="P1", client="300"):
     return (client, order, "00010", did, "000010", d(day), Decimal(str(qty)))
 
 
-def allocate(spark, plans, deliveries, method):
+def brute_force(plans, deliveries):
+    """Reference pairing in plain Python: every plan against every delivery of its key."""
+    def intervals(rows, order, qty):
+        out, groups = [], defaultdict(list)
+        for r in rows:
+            groups[r[:3]].append(r)
+        for key, members in groups.items():
+            end = Decimal(0)
+            for r in sorted(members, key=order):
+                out.append((key, r, end, end + qty(r)))
+                end += qty(r)
+        return out
+    ps = intervals(plans, lambda r: (r[4], r[3]), lambda r: r[5])
+    ds = intervals(deliveries, lambda r: (r[5], r[3], r[4]), lambda r: r[6])
+    pairs = set()
+    for pk, p, ps_, pe in ps:
+        for dk, q, ds_, de in ds:
+            if pk == dk and ps_ < de and ds_ < pe:
+                pairs.add((pk, p[3], q[3], min(pe, de) - max(ps_, ds_)))
+    return pairs
+
+
+def allocate(spark, plans, deliveries, **kw):
     p = spark.createDataFrame(plans, PLAN_SCHEMA)
     q = spark.createDataFrame(deliveries, DELIVERY_SCHEMA)
-    out = fifo.allocate(p, q, KEYS, ["EINDT", "ETENR"], ["WADAT_IST", "VBELN", "POSNR"],
-                        "schedule_quantity", "LFIMG", method=method)
-    return [r.asDict() for r in out.orderBy("ETENR", "VBELN").collect()]
+    return fifo.allocate(p, q, *ARGS, **kw)
 
 
-METHODS = ["sweep", "overlap"]
+def as_pairs(df):
+    return {((r.MANDT, r.EBELN, r.EBELP), r.ETENR, r.VBELN, r.allocated_quantity) for r in df.collect()}
 
 
-@pytest.mark.parametrize("method", METHODS)
-def test_split_and_combine_with_late_first_plan(spark, method):
-    rows = allocate(spark, [plan("1", "2026-09-10", 40), plan("2", "2026-09-20", 60)],
-                    [delivery("D1", "2026-09-12", 50), delivery("D2", "2026-09-19", 50)], method)
-    assert {(r["ETENR"], r["VBELN"]): r["allocated_quantity"] for r in rows} == {
+def rows(spark, plans, deliveries, **kw):
+    return [r.asDict() for r in allocate(spark, plans, deliveries, **kw).orderBy("ETENR", "VBELN").collect()]
+
+
+# Both scan strategies: plain per-key windows and the sliced (hot-key) scan.
+MODES = [{}, {"slices": 4, "min_hot_rows": 0}]
+
+
+@pytest.mark.parametrize("kw", MODES)
+def test_split_and_combine_with_late_first_plan(spark, kw):
+    out = rows(spark, [plan("1", "2026-09-10", 40), plan("2", "2026-09-20", 60)],
+               [delivery("D1", "2026-09-12", 50), delivery("D2", "2026-09-19", 50)], **kw)
+    assert {(r["ETENR"], r["VBELN"]): r["allocated_quantity"] for r in out} == {
         ("1", "D1"): 40, ("2", "D1"): 10, ("2", "D2"): 50}
-    on_time = {p: sum(r["allocated_quantity"] for r in rows if r["ETENR"] == p and r["WADAT_IST"] <= r["EINDT"])
+    on_time = {p: sum(r["allocated_quantity"] for r in out if r["ETENR"] == p and r["WADAT_IST"] <= r["EINDT"])
                for p in ("1", "2")}
     assert on_time == {"1": 0, "2": 60}
 
 
-@pytest.mark.parametrize("method", METHODS)
-def test_partial_delivery(spark, method):
-    rows = allocate(spark, [plan("1", "2026-09-10", 40), plan("2", "2026-09-20", 60)],
-                    [delivery("D1", "2026-09-09", 25)], method)
-    assert [(r["ETENR"], r["allocated_quantity"]) for r in rows] == [("1", 25)]
+@pytest.mark.parametrize("kw", MODES)
+def test_partial_delivery(spark, kw):
+    out = rows(spark, [plan("1", "2026-09-10", 40), plan("2", "2026-09-20", 60)],
+               [delivery("D1", "2026-09-09", 25)], **kw)
+    assert [(r["ETENR"], r["allocated_quantity"]) for r in out] == [("1", 25)]
 
 
-@pytest.mark.parametrize("method", METHODS)
-def test_excess_does_not_overfill(spark, method):
-    rows = allocate(spark, [plan("1", "2026-09-10", 40)], [delivery("D1", "2026-09-09", 100)], method)
-    assert sum(r["allocated_quantity"] for r in rows) == 40
+@pytest.mark.parametrize("kw", MODES)
+def test_excess_does_not_overfill(spark, kw):
+    out = rows(spark, [plan("1", "2026-09-10", 40)], [delivery("D1", "2026-09-09", 100)], **kw)
+    assert sum(r["allocated_quantity"] for r in out) == 40
 
 
-@pytest.mark.parametrize("method", METHODS)
-def test_cross_month_lateness(spark, method):
-    rows = allocate(spark, [plan("1", "2026-08-31", 40), plan("2", "2026-09-10", 60)],
-                    [delivery("D1", "2026-09-01", 100)], method)
-    august = sum(r["allocated_quantity"] for r in rows if r["ETENR"] == "1" and r["WADAT_IST"] <= d("2026-08-31"))
+@pytest.mark.parametrize("kw", MODES)
+def test_cross_month_lateness(spark, kw):
+    out = rows(spark, [plan("1", "2026-08-31", 40), plan("2", "2026-09-10", 60)],
+               [delivery("D1", "2026-09-01", 100)], **kw)
+    august = sum(r["allocated_quantity"] for r in out if r["ETENR"] == "1" and r["WADAT_IST"] <= d("2026-08-31"))
     assert august == 0
-    assert sum(r["allocated_quantity"] for r in rows if r["ETENR"] == "1") == 40
+    assert sum(r["allocated_quantity"] for r in out if r["ETENR"] == "1") == 40
 
 
-@pytest.mark.parametrize("method", METHODS)
-def test_equal_dates_are_deterministic(spark, method):
+@pytest.mark.parametrize("kw", MODES)
+def test_equal_dates_are_deterministic(spark, kw):
     plans = [plan("2", "2026-09-10", 10), plan("1", "2026-09-10", 10)]
     deliveries = [delivery("D2", "2026-09-10", 10), delivery("D1", "2026-09-10", 10)]
-    rows = allocate(spark, plans, deliveries, method)
-    assert {(r["ETENR"], r["VBELN"]) for r in rows} == {("1", "D1"), ("2", "D2")}
-    assert rows == allocate(spark, plans[::-1], deliveries[::-1], method)
+    out = rows(spark, plans, deliveries, **kw)
+    assert {(r["ETENR"], r["VBELN"]) for r in out} == {("1", "D1"), ("2", "D2")}
+    assert out == rows(spark, plans[::-1], deliveries[::-1], **kw)
 
 
-@pytest.mark.parametrize("method", METHODS)
-def test_no_delivery_or_no_schedule(spark, method):
-    assert allocate(spark, [plan("1", "2026-09-10", 40)], [], method) == []
-    assert allocate(spark, [], [delivery("D1", "2026-09-09", 40)], method) == []
+@pytest.mark.parametrize("kw", MODES)
+def test_no_delivery_or_no_schedule(spark, kw):
+    assert rows(spark, [plan("1", "2026-09-10", 40)], [], **kw) == []
+    assert rows(spark, [], [delivery("D1", "2026-09-09", 40)], **kw) == []
 
 
-@pytest.mark.parametrize("method", METHODS)
-def test_partition_isolation(spark, method):
-    rows = allocate(spark, [plan("1", "2026-09-10", 40)],
-                    [delivery("D1", "2026-09-09", 40, order="P2"), delivery("D2", "2026-09-09", 40, client="301")],
-                    method)
-    assert rows == []
+@pytest.mark.parametrize("kw", MODES)
+def test_partition_isolation(spark, kw):
+    out = rows(spark, [plan("1", "2026-09-10", 40)],
+               [delivery("D1", "2026-09-09", 40, order="P2"), delivery("D2", "2026-09-09", 40, client="301")], **kw)
+    assert out == []
 
 
-def test_fractional_random_conservation_and_strategies_agree(spark):
+def test_fractional_random_conservation_against_brute_force(spark):
     """50 seeded trials in one job: each trial is its own item key."""
     rng = random.Random(42)
     plans, deliveries = [], []
@@ -103,26 +133,23 @@ def test_fractional_random_conservation_and_strategies_agree(spark):
         for i in range(6):
             deliveries.append(delivery(str(i), f"2026-09-{i + 1:02}", Decimal(rng.randint(1, 1000000)) / 1000000,
                                        order=f"T{t}"))
-    p = spark.createDataFrame(plans, PLAN_SCHEMA)
-    q = spark.createDataFrame(deliveries, DELIVERY_SCHEMA)
-    args = (KEYS, ["EINDT", "ETENR"], ["WADAT_IST", "VBELN", "POSNR"], "schedule_quantity", "LFIMG")
-    sweep = fifo.allocate(p, q, *args, method="sweep")
-    overlap = fifo.allocate(p, q, *args, method="overlap")
-    assert sorted(map(tuple, sweep.collect())) == sorted(map(tuple, overlap.collect()))
-    got = {r.EBELN: r.s for r in sweep.groupBy("EBELN").agg(F.sum("allocated_quantity").alias("s")).collect()}
+    out = allocate(spark, plans, deliveries)
+    assert as_pairs(out) == brute_force(plans, deliveries)
+    got = {r.EBELN: r.s for r in out.groupBy("EBELN").agg(F.sum("allocated_quantity").alias("s")).collect()}
     for t in range(50):
         sp = sum(x[5] for x in plans if x[1] == f"T{t}")
         sd = sum(x[6] for x in deliveries if x[1] == f"T{t}")
         assert got.get(f"T{t}", 0) == min(sp, sd)  # exact decimals, no tolerance
-    per_plan = sweep.groupBy("EBELN", "ETENR").agg(F.sum("allocated_quantity").alias("s"))
+    p = spark.createDataFrame(plans, PLAN_SCHEMA)
+    q = spark.createDataFrame(deliveries, DELIVERY_SCHEMA)
+    per_plan = out.groupBy("EBELN", "ETENR").agg(F.sum("allocated_quantity").alias("s"))
     assert per_plan.join(p, ["EBELN", "ETENR"]).filter("s > schedule_quantity").count() == 0
-    per_del = sweep.groupBy("EBELN", "VBELN").agg(F.sum("allocated_quantity").alias("s"))
+    per_del = out.groupBy("EBELN", "VBELN").agg(F.sum("allocated_quantity").alias("s"))
     assert per_del.join(q, ["EBELN", "VBELN"]).filter("s > LFIMG").count() == 0
-    assert sweep.filter("allocated_quantity <= 0").count() == 0
+    assert out.filter("allocated_quantity <= 0").count() == 0
 
 
 def test_scan_takes_sliced_path_only_for_hot_keys(spark):
-    from otif.operators import scan
     df = spark.range(5000).select((F.col("id") % 2).alias("k"), F.col("id").alias("o"), F.lit(1).alias("v"))
     assert scan.key_sizes(df, ["k"]) == (5000, 2500)
     plain = scan.running_sums(df, ["k"], ["o"], {"s": F.col("v")}, slices=8)
@@ -132,15 +159,11 @@ def test_scan_takes_sliced_path_only_for_hot_keys(spark):
 
 
 def test_hot_key_spans_many_slices(spark):
-    """One key with thousands of plans and deliveries: sliced scan equals the per-key join."""
+    """One key with thousands of plans and deliveries, scanned in 16 slices, equals the brute force."""
     rng = random.Random(7)
     plans = [plan(f"{i:05}", f"2026-{1 + i % 12:02}-{1 + i % 28:02}", rng.randint(1, 50), order="HOT")
              for i in range(3000)]
     deliveries = [delivery(f"D{i:05}", f"2026-{1 + i % 12:02}-{1 + (i * 7) % 28:02}", rng.randint(1, 60), order="HOT")
                   for i in range(2500)]
-    p = spark.createDataFrame(plans, PLAN_SCHEMA)
-    q = spark.createDataFrame(deliveries, DELIVERY_SCHEMA)
-    args = (KEYS, ["EINDT", "ETENR"], ["WADAT_IST", "VBELN", "POSNR"], "schedule_quantity", "LFIMG")
-    sweep = fifo.allocate(p, q, *args, method="sweep", slices=16, min_hot_rows=0)
-    overlap = fifo.allocate(p, q, *args, method="overlap")
-    assert sorted(map(tuple, sweep.collect())) == sorted(map(tuple, overlap.collect()))
+    out = allocate(spark, plans, deliveries, slices=16, min_hot_rows=0)
+    assert as_pairs(out) == brute_force(plans, deliveries)
