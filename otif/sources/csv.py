@@ -87,3 +87,20 @@ def write_extract(frame: DataFrame, path: str) -> None:
     (frame.coalesce(1).write.mode("overwrite").options(**{k: v for k, v in OPTIONS.items()
                                                           if k not in ("mode", "enforceSchema")})
      .option("emptyValue", "").csv(path))
+
+
+def assert_unchanged(before: DataFrame, after: DataFrame) -> None:
+    """Fail when a source changed between two fingerprints (SRC-7).
+
+    Compared on executors with a full outer join on the path; only the number of
+    differing files reaches the driver.
+    """
+    b, a = before.alias("b"), after.alias("a")
+    joined = b.join(a, F.col("b.path") == F.col("a.path"), "full_outer")
+    changed = joined.filter(
+        F.col("b.path").isNull() | F.col("a.path").isNull()
+        | ~F.col("b.length").eqNullSafe(F.col("a.length"))
+        | ~F.col("b.modificationTime").eqNullSafe(F.col("a.modificationTime"))
+        | ~F.col("b.sha256").eqNullSafe(F.col("a.sha256"))).agg(F.count(F.lit(1)).alias("n")).first().n
+    if changed:
+        raise ValueError(f"{changed} source file(s) changed during execution")

@@ -4,7 +4,7 @@ import tempfile
 
 import pytest
 
-from otif.sources.csv import fingerprints, read_extract
+from otif.sources.csv import assert_unchanged, fingerprints, read_extract
 
 
 def write(text, name="x.csv"):
@@ -43,3 +43,15 @@ def test_fingerprint_changes_with_content(spark):
     with open(p, "a") as f:
         f.write("2\n")
     assert fingerprints(spark, [p]).first().sha256 != first
+
+
+def test_unchanged_sources_pass_and_changes_fail(spark):
+    p = write("A\n1\n")
+    snapshot = os.path.join(tempfile.mkdtemp(prefix="otif-fp-"), "before")
+    fingerprints(spark, [p]).write.parquet(snapshot)
+    before = spark.read.parquet(snapshot)
+    assert_unchanged(before, fingerprints(spark, [p]))
+    with open(p, "a") as f:
+        f.write("2\n")
+    with pytest.raises(ValueError):
+        assert_unchanged(before, fingerprints(spark, [p]))
