@@ -76,14 +76,16 @@ class Context:
         return datasets.purchase_order_items(s.valid("ekpo"), s.valid("ekko"), s.valid("lfa1"))
 
 
-_CONTEXTS: dict[tuple[int, str], Context] = {}
+_CONTEXTS: dict[tuple[str, str], Context] = {}
 
 
 def context(spark: SparkSession, sf_dir: str) -> Context:
-    key = (id(spark), sf_dir.rstrip("/"))
-    if key not in _CONTEXTS:
-        _CONTEXTS[key] = Context(spark, sf_dir.rstrip("/"))
-    return _CONTEXTS[key]
+    """The staged context of this session and input folder (rebuilt for a new session)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    ctx = _CONTEXTS.get(key)
+    if ctx is None or ctx.spark is not spark:
+        ctx = _CONTEXTS[key] = Context(spark, sf_dir.rstrip("/"))
+    return ctx
 
 
 def comparable(frame: DataFrame, drop: tuple[str, ...] = ("processed_at", "_processed_at", "_bronze_loaded_at",
