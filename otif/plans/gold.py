@@ -32,8 +32,8 @@ class Gold:
 
     @cached_property
     def item_keys(self) -> DataFrame:
-        # Every raw record survives as one validated variant with normalised keys,
-        # so the raw key population is read from the (staged) variants.
+        # Key population of the raw extract, invalid records included (AGG-4): every
+        # raw record survives as one validated variant with normalised keys.
         return self.silver.validated["ekpo"].rows.select(*ITEM_KEY).distinct()
 
     @cached_property

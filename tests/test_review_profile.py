@@ -48,3 +48,19 @@ def test_threshold_study_without_cross_join(spark):
     assert (out[1].eligible_suppliers, out[5].eligible_suppliers, out[10].eligible_suppliers) == (2, 1, 0)
     assert out[5].retained_item_pct == round(600 / 7, 1) and out[10].retained_item_pct == 0.0
     assert out[1].median_items == 3.5 and out[1].suppliers_with_1_or_2_items == 1 and out[1].ranking_slots == 2
+
+
+def test_listings_order_and_select(spark):
+    rows = [(dt.date(2026, 9, 1), "ALL", None, "V2", "B", 0.4, 2), (dt.date(2026, 9, 1), "ALL", None, "V1", "A", None, 0),
+            (dt.date(2026, 9, 1), "ALL", None, "V3", "C", 0.4, 1)]
+    monthly = spark.createDataFrame(rows, "report_month date, report_scope string, branch_code string, "
+                                          "supplier_id string, supplier_name string, performance_score double, "
+                                          "evaluated_schedule_line_count long")
+    listed = [r.supplier_id for r in review.supplier_listing(monthly, "ALL", dt.date(2026, 9, 1)).collect()]
+    assert listed == ["V2", "V3", "V1"]  # score ascending, nulls last, then id
+    worst = monthly.filter("performance_score IS NOT NULL").selectExpr(
+        "*", "CAST(supplier_id = 'V3' AS INT) + 1 AS worst_supplier_rank", "0L AS excluded_schedule_line_count",
+        "1.0D AS evaluation_coverage_rate", "0.5D AS on_time_rate", "0.5D AS in_full_rate", "0.5D AS mean_quantity_fill_rate")
+    assert [r.worst_supplier_rank for r in review.ranking_listing(worst, "ALL").collect()] == [1, 2]
+    quality = spark.createDataFrame([("b", 1), ("a", 2)], "reason string, item_or_record_count long")
+    assert [r.reason for r in review.quality_listing(quality).collect()] == ["a", "b"]
