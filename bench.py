@@ -79,6 +79,10 @@ def main() -> None:
     times["fifo_allocation_hot_keys"] = timed(lambda: run(fifo.allocate(
         hot_plans, hot_dels, keys=["MANDT", "WERKS"], plan_order=["EINDT", "EBELN", "ETENR"],
         delivery_order=["WADAT_IST", "VBELN", "POSNR"], plan_qty="schedule_quantity", delivery_qty="LFIMG")))
+    times["fifo_allocation_hot_keys_sliced"] = timed(lambda: run(fifo.allocate(
+        hot_plans, hot_dels, keys=["MANDT", "WERKS"], plan_order=["EINDT", "EBELN", "ETENR"],
+        delivery_order=["WADAT_IST", "VBELN", "POSNR"], plan_qty="schedule_quantity", delivery_qty="LFIMG",
+        min_hot_rows=0)))
     times["schedule_performance"] = timed(lambda: run(
         metrics.schedule_performance(g.schedule_candidates, alloc, PARAMS.as_of)))
     times["supplier_monthly"] = timed(lambda: run(metrics.supplier_monthly(sp, PARAMS.as_of, PARAMS.min_items)))
