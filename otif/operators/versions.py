@@ -33,18 +33,25 @@ def collapse_duplicates(bronze: DataFrame, fields: Sequence[str]) -> DataFrame:
     )
 
 
-def join_key_facts(frame: DataFrame, facts: DataFrame, key: Sequence[str]) -> DataFrame:
+def join_key_facts(frame: DataFrame, facts: DataFrame, key: Sequence[str], how: str = "inner") -> DataFrame:
     """Attach per-key columns; null key parts match each other (like a window partition)."""
     left, right = frame.alias("_l"), facts.alias("_r")
     cond = [F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}")) for k in key]
     extra = [F.col(f"_r.{c}") for c in facts.columns if c not in key]
-    return left.join(right, cond, "inner").select("_l.*", *extra)
+    return left.join(right, cond, how).select("_l.*", *extra)
 
 
 def key_variants(frame: DataFrame, key: Sequence[str]) -> DataFrame:
-    """``_key_variants``: number of distinct raw variants per normalised key."""
-    counts = frame.groupBy(*key).agg(F.count(F.lit(1)).alias("_key_variants"))
-    return join_key_facts(frame, counts, key)
+    """``_key_variants``: number of distinct raw variants per normalised key.
+
+    Only keys with several variants are joined back (all others have one), so
+    the joined table is usually small enough for AQE to broadcast it and the
+    wide rows are not shuffled for it.
+    """
+    counts = (frame.groupBy(*key).agg(F.count(F.lit(1)).alias("_key_variants"))
+              .filter(F.col("_key_variants") > 1))
+    out = join_key_facts(frame, counts, key, "left")
+    return out.withColumn("_key_variants", F.coalesce("_key_variants", F.lit(1)))
 
 
 def version_facts(frame: DataFrame, key: Sequence[str], version: str) -> DataFrame:
@@ -65,10 +72,16 @@ def resolve_versions(frame: DataFrame, key: Sequence[str], version: str) -> Data
     Selection happens before any reference validation, so an invalid newest
     variant never revives an older one.
     """
-    out = join_key_facts(frame, version_facts(frame, key, version), key)
-    can = (F.col("_dated_variants") == F.col("_key_variants")) & (F.col("_latest_variants") == 1)
+    # A key with one variant never conflicts and has nothing to supersede, so
+    # only keys with several variants are joined back (see ``key_variants``).
+    facts = version_facts(frame, key, version).filter(F.col("_key_variants") > 1)
+    out = join_key_facts(frame, facts, key, "left")
+    single = F.col("_key_variants").isNull()
+    can = single | ((F.col("_dated_variants") == F.col("_key_variants")) & (F.col("_latest_variants") == 1))
     return (out.withColumn("_can_resolve", can)
-            .withColumn("_superseded", can & (F.col(version) < F.col("_latest_version")))
+            .withColumn("_superseded", ~single & can & F.coalesce(F.col(version) < F.col("_latest_version"),
+                                                                  F.lit(False)))
+            .withColumn("_key_variants", F.coalesce("_key_variants", F.lit(1)))
             .drop("_dated_variants", "_latest_variants"))
 
 
