@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from otif.llm import dac, packing, sharding
+from otif.llm import dac, minhash, packing, sharding
 from otif.llm.common import read
 from otif.llm.tokens import default_tokenizer
 
@@ -19,6 +19,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.token_files(read(spark, sf_dir, "documents"), default_tokenizer())
 
@@ -29,6 +33,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
+    "op5_near_duplicates": op5_near_duplicates,
     "op8_token_files": op8_token_files,
     "op10_packing": op10_packing,
 }
