@@ -12,7 +12,6 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,6 +57,13 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that does not begin any of ``df``."""
+    while any(c.lower().startswith(name) for c in df.columns):
+        name = f"_{name}"
+    return name
+
+
 def utf8_bytes(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
 
@@ -100,27 +106,33 @@ def prefix_sums(staging: Staging, df: DataFrame, order: Sequence, sums: dict[str
     return out.select(*df.columns, *((F.col(c) + F.col(f"_base_{c}")).alias(c) for c in sums))
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, kept between calls; ``normalise`` runs once per distinct word.
-
-    ``normalise`` may return an empty string; such words hash to 0.
-    """
-
-    LIMIT = 400_000  # entries kept between batches: bounds the memory of a worker, not the words
+SPACE = b" \t\n\r\x0b\x0c"
+_BYTES = np.random.default_rng(1).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE = 0x9E3779B97F4A7C15
 
-    def __init__(self, normalise=str.lower):
-        super().__init__()
-        self.normalise = normalise
 
-    def __missing__(self, word: str) -> int:
-        w = self.normalise(word)
-        self[word] = h = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) if w else 0
-        return h
+def word_hashes(texts: Sequence[str], separators: bytes = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the lower-cased words of all texts, and where each text's words begin (and the last end).
 
-    def of(self, words: Sequence[str]) -> np.ndarray:
-        if len(self) > self.LIMIT:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+    Words are runs of UTF-8 bytes other than ``separators``; each is hashed as a
+    polynomial over random values of its bytes, all at once.
+    """
+    raw = [t.lower().encode("utf-8", "surrogatepass") for t in texts]
+    data = np.frombuffer(b"\n".join([*raw, b""]), np.uint8)
+    word = np.ones(256, bool)
+    word[list(separators)] = False
+    inside = np.concatenate([[False], word[data], [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, lengths = edges[::2], edges[1::2] - edges[::2]
+    ends_of_text = np.cumsum([0, *(len(r) + 1 for r in raw)])
+    begins = np.searchsorted(starts, ends_of_text)
+    if not len(starts):
+        return np.zeros(0, np.uint64), begins
+    at = np.flatnonzero(inside[1:-1])
+    firsts = np.cumsum(lengths) - lengths
+    place = np.arange(len(at)) - np.repeat(firsts, lengths)
+    powers = np.cumprod(np.full(int(lengths.max()), _BASE, np.uint64))
+    return mix64(np.add.reduceat(_BYTES[data[at]] * powers[place], firsts)), begins
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -24,14 +24,15 @@ an empty result; columns other than doc_id and text are not read.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from otif.llm.common import Staging, WordHashes, arrow_batch, components, mix64, text_key
+from otif.llm.common import Staging, arrow_batch, components, fresh, mix64, text_key, word_hashes
+from otif.llm.tokens import groups
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -41,20 +42,24 @@ SLACK = 4.5
 SMALL = 12
 GOLDEN = 0x9E3779B97F4A7C15
 
-_hashes = WordHashes()
 
+Bag = tuple[np.ndarray, np.ndarray]
 
-def shingles(text: str, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashed runs of a text, ascending, and their counts."""
-    h = _hashes.of(text.split())
-    n = max(len(h) - words + 1, min(len(h), 1))
-    runs = np.zeros(n, np.uint64)
-    for i in range(min(words, len(h))):
-        runs = mix64(runs + h[i : i + n] + np.uint64(GOLDEN))
-    return np.unique(runs, return_counts=True)
 
+def bags(texts: Sequence[str], words: int = WORDS) -> Iterator[Bag]:
+    """Of each text the distinct hashed runs, ascending, and their counts."""
+    for part in groups(texts):
+        hashes, begins = word_hashes(texts[part])
+        for a, b in zip(begins, begins[1:], strict=False):
+            h = hashes[a:b]
+            n = max(len(h) - words + 1, min(len(h), 1))
+            runs = np.zeros(n, np.uint64)
+            for i in range(min(words, len(h))):
+                runs = mix64(runs + h[i : i + n] + np.uint64(GOLDEN))
+            yield np.unique(runs, return_counts=True)
 
-def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+
+def overlap(a: Bag, b: Bag) -> float:
     """Weighted Jaccard similarity of two multisets."""
     _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
     common = int(np.minimum(a[1][i], b[1][j]).sum())
@@ -118,8 +123,7 @@ def sign(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             signatures, bands = [], []
-            for text in batch.column(2).to_pylist():
-                elements, counts = shingles(text)
+            for elements, counts in bags(batch.column(2).to_pylist()):
                 sig = signature(elements, counts) if len(elements) else None
                 signatures.append(None if sig is None else sig.tobytes())
                 bands.append(None if sig is None else band_keys(sig))
@@ -143,16 +147,16 @@ def agreeing(pairs: DataFrame, signatures: DataFrame, threshold: float) -> DataF
 
 
 def with_sides(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
-    """a, b and ``column`` of each (x, y); rows of one ``a`` follow each other where the join sorts."""
+    """a, b and ``column`` of each (x, y)."""
     both = pairs.join(table.select(F.col("node").alias("b"), F.col(column).alias("y")), "b")
     return both.join(table.select(F.col("node").alias("a"), F.col(column).alias("x")), "a").select("a", "b", "x", "y")
 
 
-def rows_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Rows of ``docs`` that are a chosen (node, doc_id), with all their columns and _node."""
-    rows = docs.filter("text is not null").withColumn("_node", text_key(F.col("text")))
-    ids = chosen.select(F.col("node").alias("_n"), F.col("doc_id").alias("_d"))
-    return rows.join(ids, (rows["_node"] == ids["_n"]) & rows["doc_id"].cast("long").eqNullSafe(ids["_d"]), "left_semi")
+def rows_of(docs: DataFrame, chosen: DataFrame, node: str) -> DataFrame:
+    """Rows of ``docs`` that are a chosen (node, doc_id), with all their columns and their node."""
+    rows = docs.filter("text is not null").withColumn(node, text_key(F.col("text")))
+    ids = chosen.select(F.col("node").alias(f"{node}_n"), F.col("doc_id").alias(f"{node}_d"))
+    return rows.join(ids, (rows[node] == ids[f"{node}_n"]) & rows["doc_id"].cast("long").eqNullSafe(ids[f"{node}_d"]), "left_semi")
 
 
 def verified(staging: Staging, pairs: DataFrame, docs: DataFrame, nodes: DataFrame, threshold: float, name: str) -> DataFrame:
@@ -160,17 +164,13 @@ def verified(staging: Staging, pairs: DataFrame, docs: DataFrame, nodes: DataFra
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, bag = None, None
         for batch in batches:
-            keep = []
-            for a, x, y in zip(*(batch.column(c).to_pylist() for c in (0, 2, 3)), strict=True):
-                if a != last:
-                    last, bag = a, shingles(x)
-                keep.append(overlap(bag, shingles(y)) >= threshold)
+            left, right = (bags(batch.column(c).to_pylist()) for c in (2, 3))
+            keep = [overlap(x, y) >= threshold for x, y in zip(left, right, strict=True)]
             yield pa.RecordBatch.from_arrays(batch.columns[:2], schema=schema).filter(pa.array(keep, pa.bool_()))
 
     needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node")
-    texts = rows_of(docs.select("doc_id", "text"), needed).select(F.col("_node").alias("node"), "text").dropDuplicates(["node"])
+    texts = rows_of(docs.select("doc_id", "text"), needed, "node").select("node", "text").dropDuplicates(["node"])
     texts = staging.put(texts, f"{name}-texts")
     links = staging.put(with_sides(pairs, texts, "text").mapInArrow(run, "a binary, b binary"), name)
     staging.drop(f"{name}-texts")
@@ -229,5 +229,6 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Rows of ``docs`` that stay: one of each class, that of its least doc_id, and every row without a text."""
     _, nodes = classes(Staging(docs.sparkSession, "minhash"), docs, threshold)
     first = nodes.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node")).alias("f"))
-    kept = rows_of(docs, first.select("f.node", "f.doc_id")).dropDuplicates(["doc_id", "_node"]).drop("_node")
+    node = fresh(docs, "node")
+    kept = rows_of(docs, first.select("f.node", "f.doc_id"), node).dropDuplicates(["doc_id", node]).drop(node)
     return kept.unionByName(docs.filter("text is null"))

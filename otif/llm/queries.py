@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from otif.llm import dac, minhash, packing, sharding
+from otif.llm import dac, decontam, minhash, packing, sharding
 from otif.llm.common import read
 from otif.llm.tokens import default_tokenizer
 
@@ -23,6 +23,10 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.token_files(read(spark, sf_dir, "documents"), default_tokenizer())
 
@@ -34,6 +38,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op5_near_duplicates": op5_near_duplicates,
+    "op7_decontamination": op7_decontamination,
     "op8_token_files": op8_token_files,
     "op10_packing": op10_packing,
 }
