@@ -9,6 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -111,28 +112,56 @@ _BYTES = np.random.default_rng(1).integers(1, 1 << 63, 256, dtype=np.uint64) * n
 _BASE = 0x9E3779B97F4A7C15
 
 
-def word_hashes(texts: Sequence[str], separators: bytes = SPACE) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the lower-cased words of all texts, and where each text's words begin (and the last end).
+def _table(chars: bytes) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(chars)] = True
+    return out
 
-    Words are runs of UTF-8 bytes other than ``separators``; each is hashed as a
-    polynomial over random values of its bytes, all at once.
-    """
-    raw = [t.lower().encode("utf-8", "surrogatepass") for t in texts]
+
+def fold(data: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes with A-Z and À-Þ in lower case; no byte moves."""
+    lead = np.concatenate([[False], data[:-1] == 0xC3])
+    upper = ((data >= 0x41) & (data <= 0x5A)) | (lead & (data >= 0x80) & (data <= 0x9E) & (data != 0x97))
+    return data + upper * np.uint8(0x20)
+
+
+class Words(NamedTuple):
+    """Words of some texts, which are joined as UTF-8 ``data`` with a line feed after each."""
+
+    data: np.ndarray
+    texts: np.ndarray  # where each text begins in data, and the end
+    starts: np.ndarray  # of the words, in data
+    ends: np.ndarray
+    hashes: np.ndarray
+    begins: np.ndarray  # number of each text's first word, and the number of words
+
+
+def scan_words(texts: Sequence[str], separators: bytes = SPACE) -> Words:
+    """Runs of bytes other than ``separators``, folded and hashed (polynomials over random values of the bytes)."""
+    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
     data = np.frombuffer(b"\n".join([*raw, b""]), np.uint8)
-    word = np.ones(256, bool)
-    word[list(separators)] = False
-    inside = np.concatenate([[False], word[data], [False]])
+    at_text = np.cumsum([0, *(len(r) + 1 for r in raw)])
+    inside = np.concatenate([[False], ~_table(separators)[data], [False]])
     edges = np.flatnonzero(inside[1:] != inside[:-1])
-    starts, lengths = edges[::2], edges[1::2] - edges[::2]
-    ends_of_text = np.cumsum([0, *(len(r) + 1 for r in raw)])
-    begins = np.searchsorted(starts, ends_of_text)
+    starts, ends = edges[::2], edges[1::2]
+    begins = np.searchsorted(starts, at_text)
     if not len(starts):
-        return np.zeros(0, np.uint64), begins
+        return Words(data, at_text, starts, ends, np.zeros(0, np.uint64), begins)
     at = np.flatnonzero(inside[1:-1])
+    return Words(data, at_text, starts, ends, polynomials(_BYTES[fold(data)[at]], ends - starts), begins)
+
+
+def polynomials(values: np.ndarray, lengths: np.ndarray, base: int = _BASE) -> np.ndarray:
+    """Mixed polynomial hashes of consecutive runs of ``values`` with these (positive) lengths."""
     firsts = np.cumsum(lengths) - lengths
-    place = np.arange(len(at)) - np.repeat(firsts, lengths)
-    powers = np.cumprod(np.full(int(lengths.max()), _BASE, np.uint64))
-    return mix64(np.add.reduceat(_BYTES[data[at]] * powers[place], firsts)), begins
+    powers = np.cumprod(np.full(int(lengths.max(initial=1)), base, np.uint64))
+    return mix64(np.add.reduceat(values * powers[np.arange(len(values)) - np.repeat(firsts, lengths)], firsts)) if len(lengths) else np.zeros(0, np.uint64)
+
+
+def word_hashes(texts: Sequence[str], separators: bytes = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, and where each text's words begin (and the last end)."""
+    words = scan_words(texts, separators)
+    return words.hashes, words.begins
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -81,6 +81,7 @@ class Index:
     def __init__(self, items: Sequence[tuple[int | None, str]], rate: float = RATE, walks: int = WALKS, repeats: int = REPEATS, samples: int = SAMPLES):
         self.rate, self.repeats = rate, repeats
         self.items = [(item_id, h) for item_id, text in items if len(h := word_hashes([text], SEPARATORS)[0]) >= MIN_WORDS]
+        self.distinct = [set(h.tolist()) for _, h in self.items]
         variants = [(i, s, length_class(len(h) - s)) for i, (_, h) in enumerate(self.items) for s in range(STRIDE)]
         self.plans = []  # per walk: step -> the keys (class, repeat) that sample it
         for walk in range(walks):
@@ -133,7 +134,7 @@ class Index:
         found: list[dict[int, tuple[int, int]]] = [{} for _ in texts]
         if not self.items:
             return found
-        filled = [t or "" for t in texts]
+        filled, distinct = [t or "" for t in texts], self.distinct
         for part in groups(filled):
             joined, begins = word_hashes(filled[part], SEPARATORS)
             if not len(joined):
@@ -146,6 +147,8 @@ class Index:
                 item, place = self.items[i][1], begin - int(begins[d])
                 slack = int(self.rate * len(item)) + 1
                 near = joined[begins[d] + max(0, place - slack) : min(begins[d] + max(0, place + len(item) + slack), begins[d + 1])]
+                if len(distinct[i].intersection(near.tolist())) < len(distinct[i]) - int(self.rate * len(item)):
+                    continue  # an edit takes at most one of the item's words away
                 distance = edit_search(item.tolist(), near.tolist())
                 best = found[part.start + d].get(i, (distance + 1, 0))
                 if distance <= self.rate * len(item) and distance < best[0]:

@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from otif.llm import dac, decontam, minhash, packing, sharding
+from otif.llm import dac, decontam, minhash, packing, sharding, substring
 from otif.llm.common import read
 from otif.llm.tokens import default_tokenizer
 
 SHARDS = 24
 
 
+def op1_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated_runs(read(spark, sf_dir, "documents")).drop("row")
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_by_bytes(read(spark, sf_dir, "documents"), SHARDS)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -36,6 +40,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_repeated_passages": op1_repeated_passages,
     "op2_sharding": op2_sharding,
     "op5_near_duplicates": op5_near_duplicates,
     "op7_decontamination": op7_decontamination,
