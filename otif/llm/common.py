@@ -136,8 +136,8 @@ class Words(NamedTuple):
     begins: np.ndarray  # number of each text's first word, and the number of words
 
 
-def scan_words(texts: Sequence[str], separators: bytes = SPACE) -> Words:
-    """Runs of bytes other than ``separators``, folded and hashed (polynomials over random values of the bytes)."""
+def scan_words(texts: Sequence[str], separators: bytes = SPACE, folded: bool = True) -> Words:
+    """Runs of bytes other than ``separators``, hashed (polynomials over random values of the bytes, folded or not)."""
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
     data = np.frombuffer(b"\n".join([*raw, b""]), np.uint8)
     at_text = np.cumsum([0, *(len(r) + 1 for r in raw)])
@@ -148,7 +148,7 @@ def scan_words(texts: Sequence[str], separators: bytes = SPACE) -> Words:
     if not len(starts):
         return Words(data, at_text, starts, ends, np.zeros(0, np.uint64), begins)
     at = np.flatnonzero(inside[1:-1])
-    return Words(data, at_text, starts, ends, polynomials(_BYTES[fold(data)[at]], ends - starts), begins)
+    return Words(data, at_text, starts, ends, polynomials(_BYTES[(fold(data) if folded else data)[at]], ends - starts), begins)
 
 
 def polynomials(values: np.ndarray, lengths: np.ndarray, base: int = _BASE) -> np.ndarray:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from otif.llm import dac, decontam, minhash, packing, sharding, substring
+from otif.llm import dac, decontam, minhash, packing, quality, secrets, sharding, substring, toxicity, urls
 from otif.llm.common import read
 from otif.llm.tokens import default_tokenizer
 
@@ -23,10 +23,22 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read(spark, sf_dir, "pages")).drop("score")
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(read(spark, sf_dir, "documents"))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(read(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -35,17 +47,19 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.token_files(read(spark, sf_dir, "documents"), default_tokenizer())
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), default_tokenizer())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_repeated_passages": op1_repeated_passages,
-    "op2_sharding": op2_sharding,
-    "op5_near_duplicates": op5_near_duplicates,
-    "op7_decontamination": op7_decontamination,
-    "op8_token_files": op8_token_files,
-    "op10_packing": op10_packing,
+    f.__name__: f
+    for f in (op1_repeated_passages, op2_sharding, op3_url_filter, op4_quality_rules, op5_near_duplicates, op6_secrets,
+              op7_decontamination, op8_token_files, op9_toxicity, op10_packing)
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op4_quality_rules": quality.SQL}

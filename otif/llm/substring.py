@@ -63,8 +63,12 @@ def spans(texts: Sequence[str]) -> dict[str, np.ndarray]:
     return {"text": text, "unit": unit, "start": points[start] - points[w.texts[text]], "end": points[end] - points[w.texts[text]], "words": sizes, "hi": hi, "lo": lo}
 
 
-def units(docs: DataFrame) -> DataFrame:
-    """A row per unit; ``row`` numbers the rows of ``docs``."""
+def numbered(docs: DataFrame) -> DataFrame:
+    return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+
+def units(rows: DataFrame) -> DataFrame:
+    """A row per unit of numbered rows (row, doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -75,14 +79,16 @@ def units(docs: DataFrame) -> DataFrame:
                 text = pa.array(found.pop("text") + part.start)
                 yield arrow_batch(UNITS, {"row": row.take(text), "doc_id": doc_id.take(text), **found})
 
-    rows = docs.filter("text is not null").select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "row long, doc_id long, unit int, start long, end long, words int, hi long, lo long")
+    return rows.filter("text is not null").mapInArrow(run, "row long, doc_id long, unit int, start long, end long, words int, hi long, lo long")
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """A row per removed run: row, doc_id, start, end, words, units, first_doc_id (where its first unit stays), first_start."""
-    staging = Staging(docs.sparkSession, "substring")
-    found = staging.put(units(docs), "units")
+    return _runs(Staging(docs.sparkSession, "substring"), numbered(docs), min_words)
+
+
+def _runs(staging: Staging, rows: DataFrame, min_words: int) -> DataFrame:
+    found = staging.put(units(rows), "units")
     digest = ["hi", "lo"]
     often = found.groupBy(*digest).agg(F.count("*").alias("n")).filter("n > 1").select(*digest)
     shared = staging.put(found.join(often, digest), "shared")  # a hot digest meets one row: the skewed join is split
@@ -101,8 +107,9 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id and text of every row, repeated runs cut out, and the removed spans of the original text."""
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    cuts = repeated_runs(docs, min_words).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "first_doc_id"))).alias("removed"))
+    staging = Staging(docs.sparkSession, "substring")
+    rows = staging.put(numbered(docs), "rows")  # written, so that the numbers hold
+    cuts = _runs(staging, rows, min_words).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "first_doc_id"))).alias("removed"))
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, removed: pd.Series) -> pd.Series:
