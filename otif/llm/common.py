@@ -108,7 +108,7 @@ def prefix_sums(staging: Staging, df: DataFrame, order: Sequence, sums: dict[str
 
 
 SPACE = b" \t\n\r\x0b\x0c"
-_BYTES = np.random.default_rng(1).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+BYTES = np.random.default_rng(1).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -148,7 +148,7 @@ def scan_words(texts: Sequence[str], separators: bytes = SPACE, folded: bool = T
     if not len(starts):
         return Words(data, at_text, starts, ends, np.zeros(0, np.uint64), begins)
     at = np.flatnonzero(inside[1:-1])
-    return Words(data, at_text, starts, ends, polynomials(_BYTES[(fold(data) if folded else data)[at]], ends - starts), begins)
+    return Words(data, at_text, starts, ends, polynomials(BYTES[(fold(data) if folded else data)[at]], ends - starts), begins)
 
 
 def polynomials(values: np.ndarray, lengths: np.ndarray, base: int = _BASE) -> np.ndarray:

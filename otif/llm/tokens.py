@@ -4,6 +4,7 @@ A byte-level BPE never merges across its own pre-token boundaries. A single
 space before a non-space character is always such a boundary, so a text is cut
 there and each distinct piece is encoded once per worker; texts with other
 spacing are encoded whole. Either way the ids equal those of the whole text.
+Pieces are told apart by 64-bit hashes and put together by array indexing.
 """
 
 from __future__ import annotations
@@ -14,9 +15,13 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 
+from otif.llm.common import BYTES, polynomials
+
 END_ID = 0
 GROUP_CHARS = 1 << 20  # texts handled at a time: bounds the pieces in memory
-MEMO_PIECES = 500_000  # distinct pieces remembered: bounds the memo, not the texts
+MEMO_PIECES = 2_000_000  # distinct pieces remembered: bounds the memo, not the texts
+SLOTS = 1 << 20
+MARKS = ".,;:!?"
 
 _ODD_SPACING = re.compile(r" (?:\s|\Z)")
 _encoders: dict[str, Encoder] = {}
@@ -35,53 +40,109 @@ class Encoder:
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.spaced: dict[str, bytes] = {}
-        self.plain: dict[str, bytes] = {}
-        self.newline = self._ids(["\n"])[0]
-
-    def _ids(self, texts: Sequence[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(list(texts), add_special_tokens=False)]
+        self.marks = dict(zip(["\n", *MARKS], self._ids(["\n", *MARKS]), strict=True))
+        self._forget()
 
-    def _learn(self, memo: dict[str, bytes], lead: str, words: Sequence[str]) -> None:
-        memo.update(zip(words, self._ids([lead + w for w in words]), strict=True))
+    def _forget(self) -> None:
+        self.known, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # hashes of the pieces, ascending, and their numbers
+        self.pool, self.filled = np.zeros(1 << 20, np.uint32), 0  # ids of all known pieces
+        self.at, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.slot_hash, self.slot_piece = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.int64)
 
-    @staticmethod
-    def _stem(word: str) -> tuple[str, str]:
-        """A word and its one closing mark, where these are pre-tokens of their own."""
-        return (word[:-1], word[-1]) if len(word) > 1 and word[-1] in ".,;:!?" and word[-2].isalpha() else (word, "")
+    def _ids(self, texts: Sequence[str]) -> list[list[int]]:
+        return [e.ids for e in self.tok.encode_batch_fast(list(texts), add_special_tokens=False)]
 
-    def _fill(self, pieces: set[str]) -> None:
-        """Remember all pieces that follow a space."""
-        parts = {}
-        spaced, plain = set(), set()
-        for p in pieces:
-            lines = p.split("\n") if "\n" in p and p.split("\n") == p.split() else [p]
-            parts[p] = cut = [self._stem(x) for x in lines]
-            spaced.add(cut[0][0])
-            plain.update(x for x, _ in cut[1:])
-            plain.update(mark for _, mark in cut if mark)
-        self._learn(self.spaced, " ", [w for w in spaced if w not in self.spaced])
-        self._learn(self.plain, "", [w for w in plain if w not in self.plain])
-        for p, cut in parts.items():
-            if p not in self.spaced:
-                self.spaced[p] = self.newline.join((self.plain if i else self.spaced)[w] + (self.plain[mark] if mark else b"") for i, (w, mark) in enumerate(cut))
-
-    def encode(self, texts: Sequence[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.spaced) + len(self.plain) > MEMO_PIECES:
-            self.spaced.clear()
-            self.plain.clear()
-        pieces = [None if _ODD_SPACING.search(t) else t.split(" ") for t in texts]
-        new, first = set(), set()
+    def _pieces(self, pieces: Sequence[str]) -> list[list[int]]:
+        """Ids of pieces, each with the space before it if it has one."""
+        cut, stems = [], {}
         for p in pieces:
-            if p:
-                new.update(p[1:])
-                first.add(p[0])
-        self._fill(new.difference(self.spaced))
-        self._learn(self.plain, "", [w for w in first if w not in self.plain])
-        whole = iter(self._ids([t for t, p in zip(texts, pieces, strict=True) if p is None]))
-        get = self.spaced.__getitem__
-        return [next(whole) if p is None else self.plain[p[0]] + b"".join(map(get, p[1:])) for p in pieces]
+            words = p.split("\n") if "\n" in p and p.split("\n") == p.split() else [p]
+            parts = []
+            for i, w in enumerate(words):
+                # One closing mark after a letter is a pre-token of its own.
+                stem = w[:-1] if len(w) > 1 and w[-1] in MARKS and w[-2].isalpha() else w
+                parts.append((stems.setdefault(stem, len(stems)), w[len(stem) :], i > 0))
+            cut.append(parts)
+        ids = self._ids(list(stems))
+        out = []
+        for parts in cut:
+            if len(parts) == 1 and not parts[0][1]:
+                out.append(ids[parts[0][0]])
+                continue
+            got: list[int] = []
+            for stem, mark, line in parts:
+                got += self.marks["\n"] if line else []
+                got += ids[stem]
+                got += self.marks[mark] if mark else []
+            out.append(got)
+        return out
+
+    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> np.ndarray:
+        """Numbers of new pieces."""
+        ids = self._pieces(pieces)
+        first = len(self.known)
+        numbers = np.arange(first, first + len(pieces))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter((x for i in ids for x in i), np.uint32, int(sizes.sum()))
+        while self.filled + len(flat) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        while first + len(ids) > len(self.at):
+            self.at, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.at, self.sizes))
+        self.pool[self.filled : self.filled + len(flat)] = flat
+        self.at[numbers], self.sizes[numbers] = self.filled + np.cumsum(sizes) - sizes, sizes
+        self.filled += len(flat)
+        place = np.searchsorted(self.known, hashes)
+        self.known, self.number = np.insert(self.known, place, hashes), np.insert(self.number, place, numbers)
+        return numbers
+
+    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        plain = [i for i, t in enumerate(texts) if not _ODD_SPACING.search(t)]
+        out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
+        odd = sorted(set(range(len(texts))).difference(plain))
+        for i, ids in zip(odd, self._ids([texts[i] for i in odd]), strict=True):
+            out[i] = np.array(ids, np.uint32)
+        if not plain:
+            return out
+        data = np.frombuffer(b" ".join([*(texts[i].encode("utf-8", "surrogatepass") for i in plain), b""]), np.uint8)
+        ends = np.flatnonzero(data == 32)
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        text_ends = np.cumsum([texts[i].count(" ") + 1 for i in plain])
+        opening = np.zeros(len(ends), bool)  # a text's first piece has no space before it
+        opening[np.concatenate([[0], text_ends[:-1]])] = True
+        full = ends > starts
+        hashes = np.zeros(len(ends), np.uint64)
+        hashes[full] = polynomials(BYTES[data[data != 32]], (ends - starts)[full]) ^ (opening[full] * np.uint64(0xA5A5A5A5A5A5A5A5))
+        numbers = self._numbers(hashes, starts, ends, opening, full, data)
+        sizes = np.where(full, self.sizes[numbers], 0)
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.pool[np.repeat(self.at[numbers] - before[:-1], sizes) + np.arange(before[-1])]
+        for i, part in zip(plain, np.split(ids, before[text_ends[:-1]]), strict=True):
+            out[i] = part
+        return out
+
+    def _numbers(self, hashes, starts, ends, opening, full, data) -> np.ndarray:
+        """The number of each piece; new ones are encoded. A direct-mapped table answers most."""
+        if len(self.known) > MEMO_PIECES:
+            self._forget()
+        slots = hashes & np.uint64(SLOTS - 1)
+        numbers = np.where(self.slot_hash[slots] == hashes, self.slot_piece[slots], -1)
+        asked = np.flatnonzero((numbers < 0) & full)
+        distinct, first, inverse = np.unique(hashes[asked], return_index=True, return_inverse=True)
+        found = np.full(len(distinct), -1)
+        if len(self.known):
+            place = np.minimum(np.searchsorted(self.known, distinct), len(self.known) - 1)
+            found = np.where(self.known[place] == distinct, self.number[place], -1)
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            raw = data.tobytes()
+            at = asked[first[new]]
+            pieces = [raw[a - (not lead) : b] for a, b, lead in zip(starts[at].tolist(), ends[at].tolist(), opening[at].tolist(), strict=True)]
+            found[new] = self._learn(distinct[new], [p.decode("utf-8", "surrogatepass") for p in pieces])
+        numbers[asked] = found[inverse]
+        numbers[~full] = 0
+        self.slot_hash[slots[asked]], self.slot_piece[slots[asked]] = hashes[asked], numbers[asked]
+        return numbers
 
 
 def encoder(path: str) -> Encoder:
@@ -105,7 +166,6 @@ def groups(texts: Sequence[str], limit: int = GROUP_CHARS) -> Iterator[slice]:
 def encode_texts(path: str, texts: Sequence[str | None]) -> Iterator[np.ndarray]:
     """Ids of each text (null: of an empty one), followed by the end id."""
     enc, filled = encoder(path), [t or "" for t in texts]
-    end = np.array([END_ID], "<u4").tobytes()
     for part in groups(filled):
-        for raw in enc.encode(filled[part]):
-            yield np.frombuffer(raw + end, "<u4")
+        for ids in enc.encode(filled[part]):
+            yield np.append(ids, np.uint32(END_ID))
