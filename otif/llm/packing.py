@@ -152,7 +152,8 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_i
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """Every piece with its sequence_id and offset; ``with_ids`` adds its ids (little-endian unsigned 32-bit)."""
     staging = Staging(docs.sparkSession, "packing")
-    pieces = cut_pieces(docs, tokenizer, capacity, with_ids).withColumn("_one", F.lit(1).cast("long"))
+    pieces = staging.put(cut_pieces(docs, tokenizer, capacity, with_ids), "cut")  # written once: the range partitioning reads its input twice
+    pieces = pieces.withColumn("_one", F.lit(1).cast("long"))
     order = ["length", "doc_id", "piece", "ids_crc32"]
     ranked = prefix_sums(staging, pieces, order, {"_rank": "_one"}, "pieces")
     histogram = {r["length"]: r["count"] for r in ranked.groupBy("length").count().collect()}  # at most `capacity` rows
