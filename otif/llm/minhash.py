@@ -10,11 +10,12 @@ equal to their weighted Jaccard similarity.
 
 Equal texts share one node, signed once. Nodes that share a band of ``ROWS``
 registers are candidates: all pairs in a bucket of up to ``SMALL`` nodes; in a
-larger bucket every node is compared with one node of the bucket, and as long as
-that finds links, nodes of other components are compared with one node of theirs
-in further rounds, so the work stays in proportion to the nodes. Pairs whose signatures
-agree in too few registers are dropped (``SLACK`` standard deviations below the
-threshold); the others are verified on their exact multisets.
+larger bucket every node is compared with one node of the bucket. Large buckets
+that then still hold several components are cut finer, by three further registers
+at a time, and the components compared again in the same way, so the work stays in
+proportion to the nodes. Pairs whose signatures agree in too few registers are
+dropped (``SLACK`` standard deviations below the threshold); the others are verified
+on their exact multisets. Classes are the components of the verified links.
 
 Defined cases: a null text is nobody's duplicate; blank texts are duplicates only of
 equal ones; repeated rows are duplicates; null doc_ids count as last; an empty table gives
@@ -40,6 +41,7 @@ BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
 SLACK = 4.5
 SMALL = 12
+FINER = 5  # finer cuts of a large bucket, by three registers each
 GOLDEN = 0x9E3779B97F4A7C15
 
 
@@ -159,8 +161,8 @@ def rows_of(docs: DataFrame, chosen: DataFrame, node: str) -> DataFrame:
     return rows.join(ids, (rows[node] == ids[f"{node}_n"]) & rows["doc_id"].cast("long").eqNullSafe(ids[f"{node}_d"]), "left_semi")
 
 
-def verified(staging: Staging, pairs: DataFrame, docs: DataFrame, nodes: DataFrame, threshold: float, name: str) -> DataFrame:
-    """Staged links: the pairs (a, b) whose multisets overlap by the threshold or more."""
+def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) whose multisets overlap by the threshold or more."""
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,12 +171,22 @@ def verified(staging: Staging, pairs: DataFrame, docs: DataFrame, nodes: DataFra
             keep = [overlap(x, y) >= threshold for x, y in zip(left, right, strict=True)]
             yield pa.RecordBatch.from_arrays(batch.columns[:2], schema=schema).filter(pa.array(keep, pa.bool_()))
 
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node")
-    texts = rows_of(docs.select("doc_id", "text"), needed, "node").select("node", "text").dropDuplicates(["node"])
-    texts = staging.put(texts, f"{name}-texts")
-    links = staging.put(with_sides(pairs, texts, "text").mapInArrow(run, "a binary, b binary"), name)
-    staging.drop(f"{name}-texts")
-    return links
+    return with_sides(pairs, texts, "text").mapInArrow(run, "a binary, b binary")
+
+
+def candidates(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of members (key, node, n, h, least, root) of different roots.
+
+    All pairs of a bucket of up to ``SMALL`` nodes; else each node and the bucket's
+    node of least h, so a bucket yields a bounded number of pairs for each node.
+    """
+    few = members.filter(F.col("n") <= SMALL).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("node", "root"))).alias("g"))
+    pair = "transform(filter(slice(g, i + 2, size(g)), y -> y.root != x.root), y -> struct(x.node as a, y.node as b))"
+    few = few.select(F.explode(F.expr(f"flatten(transform(g, (x, i) -> {pair}))")).alias("p")).select("p.a", "p.b")
+    many = members.filter(F.col("n") > SMALL)
+    centre = many.filter("h = least").groupBy("key").agg(F.min(F.struct("node", "root")).alias("c"))
+    star = many.join(centre, "key").filter("root != c.root").select(*ordered("node", F.col("c.node")))
+    return few.union(star).distinct()
 
 
 def ordered(a, b) -> tuple:
@@ -189,30 +201,28 @@ def classes(staging: Staging, docs: DataFrame, threshold: float = THRESHOLD) ->
     members = signatures.select("node", F.explode("bands").alias("key")).withColumn("h", F.xxhash64("node", "key"))
     buckets = members.groupBy("key").agg(F.count("*").alias("n"), F.min("h").alias("least")).filter("n > 1")
     shared = staging.put(members.join(buckets, "key"), "shared")
-
-    few = shared.filter(F.col("n") <= SMALL).groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("g"))
-    few = few.select(F.explode(F.expr("flatten(transform(g, (x, i) -> transform(slice(g, i + 2, size(g)), y -> struct(x as a, y as b))))")).alias("p")).select("p.a", "p.b")
-    many = shared.filter(F.col("n") > SMALL)
-    centre = many.filter("h = least").groupBy("key").agg(F.min("node").alias("centre"))
-    star = many.join(centre, "key").filter("node != centre").select(*ordered("node", "centre"))
-    tried = staging.put(agreeing(few.union(star).distinct(), signatures, threshold), "pairs-0")
-    links = verified(staging, tried, docs, nodes, threshold, "links-0")
-    roots = staging.put(components(staging, links, "components-0"), "roots-0")
-    k = 0
-    while True:
-        # Large buckets that still hold several components: another centre, compared with all nodes outside its component.
-        k += 1
-        parts = many.select("key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        parts = staging.put(parts.withColumn("h", F.xxhash64("node", "key", F.lit(k))), f"parts-{k}")
-        mixed = parts.groupBy("key").agg(F.min("h").alias("least"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("key", "least")
-        centre = parts.join(mixed, "key").filter("h = least").groupBy("key").agg(F.min(F.struct("node", "root")).alias("c"))
-        again = parts.join(centre, "key").filter("root != c.root").select(*ordered("node", F.col("c.node"))).distinct()
-        pairs = staging.put(agreeing(again.join(tried, ["a", "b"], "left_anti"), signatures, threshold), f"pairs-{k}")
-        if pairs.isEmpty() or (more := verified(staging, pairs, docs, nodes, threshold, f"links-{k}")).isEmpty():
-            break
-        links, tried = links.union(more), tried.union(pairs)
-        roots = staging.put(components(staging, links, f"components-{k}"), f"roots-{k}")
-    staging.drop("signatures", "shared", *(f"parts-{i + 1}" for i in range(k)))
+    pairs = staging.put(agreeing(candidates(shared.withColumn("root", F.col("node"))), signatures, threshold), "pairs")
+
+    # The texts of all nodes that may be compared, shuffled once.
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(shared.filter(F.col("n") > SMALL).select("node")).distinct()
+    texts = rows_of(docs.select("doc_id", "text"), needed.join(nodes, "node"), "node").select("node", "text").dropDuplicates(["node"])
+    texts = staging.put(texts, "texts")
+    links = staging.put(verified(pairs, texts, threshold), "links")
+    roots = staging.put(components(staging, links, "components"), "roots")
+
+    # Large buckets that still hold several components: cut finer by further registers and compared again.
+    mixed = shared.filter(F.col("n") > SMALL).select("key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_keys = mixed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("key")
+    finer = [F.xxhash64("key", F.substring("signature", 4 * k + 1, 12)) for k in range(0, REGISTERS - 2, REGISTERS // FINER)]
+    fine = mixed.join(open_keys, "key").join(signatures.select("node", "signature"), "node")
+    fine = fine.select("node", "root", F.explode(F.array(*finer)).alias("key")).withColumn("h", F.xxhash64("node", "key"))
+    fine = staging.put(fine, "fine")
+    sizes = fine.groupBy("key").agg(F.count("*").alias("n"), F.min("h").alias("least"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    again = candidates(fine.join(sizes.filter("lo != hi").drop("lo", "hi"), "key")).join(pairs, ["a", "b"], "left_anti")
+    more = staging.put(verified(agreeing(again, signatures, threshold), texts, threshold), "more")
+    if not more.isEmpty():
+        roots = staging.put(components(staging, links.union(more), "components-2"), "roots-2")
+    staging.drop("signatures", "shared", "pairs", "texts", "fine")
     return signed, nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
