@@ -29,6 +29,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -203,14 +204,18 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return out
 
 
+def _clean(shared: Broadcast):
+    """A function that tells which texts contain no item of a broadcast index."""
+
+    @F.pandas_udf("boolean")
+    def clean(texts: pd.Series) -> pd.Series:
+        return pd.Series([not items for items in shared.value.scan(list(texts))], dtype=bool)
+
+    return clean
+
+
 def without_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text contains no item, with all their columns."""
     for index in blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
-
-        @F.pandas_udf("boolean")
-        def clean(texts: pd.Series, shared=shared) -> pd.Series:
-            return pd.Series([not items for items in shared.value.scan(list(texts))], dtype=bool)
-
-        docs = docs.filter(clean("text"))
+        docs = docs.filter(_clean(docs.sparkSession.sparkContext.broadcast(index))("text"))
     return docs
