@@ -35,8 +35,8 @@ from otif.llm.tokens import groups
 
 TRAIN_ROWS = 12_000
 MAX_FEATURES = 600
-MIN_Z = 6.0
-MIN_TOXIC = 5
+MIN_Z = 5.0
+MIN_TOXIC = 3
 PREFIXES = (4, 5)
 REJECT = 0.7
 MEMO = 300_000  # words remembered by a worker
