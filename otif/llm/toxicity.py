@@ -37,7 +37,7 @@ TRAIN_ROWS = 12_000
 MAX_FEATURES = 600
 MIN_Z = 5.0
 MIN_TOXIC = 3
-PREFIXES = (4, 5)
+PREFIXES = (4, 5)  # ascending
 REJECT = 0.7
 MEMO = 300_000  # words remembered by a worker
 
@@ -55,6 +55,7 @@ _EDGES = "\"'`.,;:?)]}>…»“”„‘’"
 _TRAIL = _EDGES + "!*$%&#|+(-_<"
 _LEAD = "\"'`.,;:?([{<«“”„‘’-_%&"
 _DOTTED = re.compile(r"\w(?:[.\-_*·]\w){3,}\Z")
+_PERHAPS_SPACED = re.compile(r" \S \S ")
 _SPACED = re.compile(r"(?<!\S)\S(?: \S){3,}(?!\S)")
 _ODD = re.compile(r"[^\W\d_][013456789@$!|+(*#€£¡]+|[013456789@$!|+(*#€£¡]+[^\W\d_]|([^\W\d_])\1\1", re.IGNORECASE)
 
@@ -130,13 +131,21 @@ def features_of(word: str) -> tuple[str, ...]:
 
 
 def tokens_of(text: str) -> set[str]:
-    """Distinct tokens of a text; letters that are spaced out are joined to one token more."""
-    out = set(text.split())
-    if _SPACED.search(text):
-        out.update(m.group().replace(" ", "") for m in _SPACED.finditer(text))
+    """Distinct tokens of a text in lower case, without marks at their edges; letters that are spaced out are joined to one token more."""
+    text = text.lower()
+    out = {token.strip(_EDGES) for token in text.split()}
+    if _PERHAPS_SPACED.search(text):
+        out.update(m.group().replace(" ", "").strip(_EDGES) for m in _SPACED.finditer(text))
     return out
 
 
+def triples(text: str) -> set[str]:
+    """Letters that come three times in a row."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    at = np.flatnonzero((points[2:] == points[1:-1]) & (points[2:] == points[:-2]) & (points[2:] > 64))
+    return {text[i : i + 3] for i in at.tolist() if text[i].isalnum()}
+
+
 @dataclass
 class Model:
     """Picklable; of bounded size."""
@@ -145,19 +154,29 @@ class Model:
     weights: dict[str, float] = field(default_factory=dict)
     bias: float = 0.0
     trained: bool = False
-    memo: dict[str, tuple[str, ...]] = field(default_factory=dict)
-
-    def _known(self, token: str) -> tuple[str, ...]:
-        if (found := self.memo.get(token)) is None:
-            if len(self.memo) > MEMO:
-                self.memo.clear()
-            found = self.memo[token] = tuple(f for f in features_of(plain(token, self.lm)) if f in self.weights)
-        return found
+    memo: dict[str, tuple[str, ...]] = field(default_factory=dict)  # tokens with more than letters
+
+    def __post_init__(self) -> None:
+        self.starts = {f[: PREFIXES[0]] for f in self.weights}
+
+    def _features(self, text: str) -> set[str]:
+        seen: set[str] = set()
+        text = text.lower()
+        words = tokens_of(text)
+        # ``plain`` leaves words of letters alone unless one comes three times in a row; most of them begin like no feature.
+        odd = {w for t in triples(text) for w in words if t in w}
+        for word in odd.union(w for w in words if w[: PREFIXES[0]] in self.starts or not w.isalpha()):
+            if (found := self.memo.get(word)) is None:
+                if len(self.memo) > MEMO:
+                    self.memo.clear()
+                found = self.memo[word] = tuple(f for f in features_of(plain(word, self.lm)) if f in self.weights)
+            seen.update(found)
+        return seen
 
     def score(self, text: str | None) -> float:
         if not self.trained:
             return 0.0
-        seen = {f for token in tokens_of(text or "") for f in self._known(token)}
+        seen = self._features(text or "")
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.bias + sum(self.weights[f] for f in sorted(seen))))))
 
 
