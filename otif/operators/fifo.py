@@ -6,8 +6,8 @@ cumulative intervals. A plan receives from a delivery exactly the length of
 the overlap of their intervals, so one delivery can fill several plans and
 several deliveries can fill one plan; excess on either side stays unallocated.
 
-Running sums give each plan/delivery its interval end and rank. The union of
-all interval ends ("cuts") per key, merged on equal positions, is scanned once
+Plans and deliveries are tagged and scanned together; running sums per key and
+side give each its interval end and rank. The union of all interval ends ("cuts") per key, merged on equal positions, is scanned once
 more: the segment ending at a cut belongs to the plan ranked ``#plan ends
 before the cut`` and the delivery ranked ``#delivery ends before the cut``.
 Two equi-joins on ``(key, rank)`` — unique on both sides, so even a hot key
@@ -26,19 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from otif.model import ALLOCATION_RULE
-from otif.operators.scan import MIN_HOT_KEY_ROWS, running_sums
+from otif.operators.scan import running_sums
 
 EXACT = "decimal(37,6)"
 
 
-def _with_intervals(df: DataFrame, keys, order, qty: str, prefix: str, slices, min_hot_rows) -> DataFrame:
-    out = running_sums(df, keys, order, {f"_{prefix}end": F.col(qty), f"_{prefix}cnt": F.lit(1)}, slices,
-                       min_hot_rows)
-    return (out.withColumn(f"_{prefix}start", F.col(f"_{prefix}end") - F.col(qty))
-            .withColumn(f"_{prefix}rank", F.col(f"_{prefix}cnt") - 1)
-            .drop(f"_{prefix}cnt"))
-
-
 def _overlap_quantity() -> F.Column:
     # Cast to 37 digits so the difference keeps six fractional digits.
     return (F.least("_pend", "_dend").cast(EXACT) - F.greatest("_pstart", "_dstart").cast(EXACT))
@@ -47,7 +39,7 @@ def _overlap_quantity() -> F.Column:
 def allocate(plans: DataFrame, deliveries: DataFrame, keys: Sequence[str],
              plan_order: Sequence[str], delivery_order: Sequence[str],
              plan_qty: str, delivery_qty: str,
-             slices: int | None = None, min_hot_rows: int = MIN_HOT_KEY_ROWS) -> DataFrame:
+             slices: int | None = None) -> DataFrame:
     """Pairs (plan, delivery) with ``allocated_quantity`` > 0.
 
     Output: ``keys``, the other plan columns, the other delivery columns (both
@@ -60,22 +52,29 @@ def allocate(plans: DataFrame, deliveries: DataFrame, keys: Sequence[str],
     clash = set(plan_cols) & set(delivery_cols)
     if clash:
         raise ValueError(f"plan and delivery columns overlap: {sorted(clash)}")
-    pairs = _sweep(plans, deliveries, keys, plan_order, delivery_order, plan_qty, delivery_qty, slices,
-                   min_hot_rows)
+    pairs = _sweep(plans, deliveries, keys, plan_cols, delivery_cols, [*plan_order, *delivery_order], plan_qty,
+                   delivery_qty, slices)
     return pairs.select(*keys, *plan_cols, *delivery_cols, _overlap_quantity().alias("allocated_quantity"))
 
 
-def _sweep(plans, deliveries, keys, plan_order, delivery_order, plan_qty, delivery_qty, slices, min_hot_rows):
-    p = _with_intervals(plans, keys, plan_order, plan_qty, "p", slices, min_hot_rows)
-    d = _with_intervals(deliveries, keys, delivery_order, delivery_qty, "d", slices, min_hot_rows)
-    cuts = (p.select(*keys, F.col("_pend").alias("_cut"), F.lit(1).alias("_np"), F.lit(0).alias("_nd"))
-            .unionByName(d.select(*keys, F.col("_dend").alias("_cut"), F.lit(0).alias("_np"), F.lit(1).alias("_nd")))
-            .groupBy(*keys, "_cut").agg(F.sum("_np").alias("_np"), F.sum("_nd").alias("_nd")))
-    scanned = running_sums(cuts, keys, ["_cut"], {"_cp": F.col("_np"), "_cd": F.col("_nd")}, slices, min_hot_rows)
+def _sweep(plans, deliveries, keys, plan_cols, delivery_cols, order, plan_qty, delivery_qty, slices):
+    both = plans.select(*keys, *plan_cols, F.lit("p").alias("_side"), F.col(plan_qty).alias("_qty")).unionByName(
+        deliveries.select(*keys, *delivery_cols, F.lit("d").alias("_side"), F.col(delivery_qty).alias("_qty")),
+        allowMissingColumns=True)  # a side's rows have nulls in the other's order columns, so each keeps its own order
+    ends = running_sums(both, [*keys, "_side"], dict.fromkeys(order), {"_end": F.col("_qty"), "_count": F.lit(1)}, slices)
+
+    def side(tag: str, columns: list[str]) -> DataFrame:
+        return ends.filter(F.col("_side") == tag).select(
+            *keys, *columns, F.col("_end").alias(f"_{tag}end"), (F.col("_end") - F.col("_qty")).alias(f"_{tag}start"),
+            (F.col("_count") - 1).alias(f"_{tag}rank"))
+
+    cuts = ends.groupBy(*keys, F.col("_end").alias("_cut")).agg(
+        F.count_if(F.col("_side") == "p").alias("_np"), F.count_if(F.col("_side") == "d").alias("_nd"))
+    scanned = running_sums(cuts, keys, ["_cut"], {"_cp": F.col("_np"), "_cd": F.col("_nd")}, slices)
     segments = scanned.select(*keys, (F.col("_cp") - F.col("_np")).alias("_prank"),
                               (F.col("_cd") - F.col("_nd")).alias("_drank"))
-    return (segments.join(p, [*keys, "_prank"], "inner")
-            .join(d, [*keys, "_drank"], "inner"))
+    return (segments.join(side("p", plan_cols), [*keys, "_prank"], "inner")
+            .join(side("d", delivery_cols), [*keys, "_drank"], "inner"))
 
 
 def label_allocations(allocations: DataFrame, due: str = "EINDT") -> DataFrame:

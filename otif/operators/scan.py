@@ -1,4 +1,4 @@
-"""Skew-safe running sums within a key (adaptive parallel prefix scan).
+"""Skew-safe running sums within a key (parallel prefix scan).
 
 A plain ``sum(..).over(partitionBy(key).orderBy(..))`` sends every row of a key
 to one task; a key holding a third of all rows then serialises a third of the
@@ -7,8 +7,7 @@ job. Here rows are range-partitioned on ``(key, order)`` into ordered slices
 slices that are scanned in parallel. Each slice contributes one total row per
 key; an exclusive running sum over those few rows (at most the number of
 slices per key) gives every slice its offset, which is joined back on
-``(key, slice)``. Bounds are fixed when the exchange is planned and rows map to
-slices by value, so a recomputed task lands its rows in the same slices.
+``(key, slice)``. Every input takes this path, whatever its size.
 """
 
 from __future__ import annotations
@@ -25,38 +24,17 @@ def default_slices(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-# A key below this many rows is scanned by one task in about a second; slicing
-# it would cost more (sampling, checkpoint, extra shuffle) than it saves.
-MIN_HOT_KEY_ROWS = 1_000_000
-
-
-def key_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """(total rows, rows of the largest key) from one partially aggregated job."""
-    row = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-           .agg(F.sum("_n").alias("total"), F.max("_n").alias("largest")).first())
-    return int(row.total or 0), int(row.largest or 0)
-
-
 def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                 values: Mapping[str, Column], slices: int | None = None,
-                 min_hot_rows: int = MIN_HOT_KEY_ROWS) -> DataFrame:
+                 values: Mapping[str, Column], slices: int | None = None) -> DataFrame:
     """Add an inclusive running sum column per ``values`` entry.
 
     ``keys`` must be non-null; ``order`` must be a total order within a key for
     the result to be deterministic. Returns all input columns plus one column
-    per name in ``values``.
-
-    One aggregate first measures the largest key. When every key fits in one
-    task's share of the rows (or is below ``min_hot_rows``) a plain window per
-    key is already balanced; otherwise the sliced scan below is used.
+    per name in ``values``. Writing the slices runs a job.
     """
     n = slices or default_slices(df)
     keys, order = list(keys), list(order)
     names = list(values)
-    total, largest = key_sizes(df, keys)
-    if largest <= max(min_hot_rows, total // n):
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.select("*", *[F.sum(expr).over(w).alias(name) for name, expr in values.items()])
     # The slice id must be fixed once: both the local scan and the slice totals
     # read it, and a re-planned or re-sampled exchange could otherwise move a
     # row to another slice between the two reads. A reliable checkpoint (in
@@ -70,7 +48,7 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         Window.unboundedPreceding, Window.currentRow)
     local = ranged.select("*", *[F.sum(f"_val_{name}").over(within).alias(f"_run_{name}") for name in names])
     # One row per (key, slice): the slice totals, then offsets = totals of earlier slices.
-    totals = local.groupBy(*keys, "_slice").agg(*[F.sum(f"_val_{name}").alias(f"_tot_{name}") for name in names])
+    totals = ranged.groupBy(*keys, "_slice").agg(*[F.sum(f"_val_{name}").alias(f"_tot_{name}") for name in names])
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, "_slice", *[
         F.sum(f"_tot_{name}").over(before).alias(f"_off_{name}") for name in names])

@@ -2,32 +2,32 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str | None = None, partitions: int | None = None,
-                  app_name: str = "otif") -> SparkSession:
-    """Session tuned for the engine: AQE with skew-join splitting, ANSI, UTC, no UI."""
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    master = master or f"local[{cpus}]"
-    partitions = partitions or int(os.environ.get("OTIF_SHUFFLE_PARTITIONS", "8"))
-    spark = (
-        SparkSession.builder.master(master).appName(app_name)
+def build_session(master: str | None = None, partitions: int | None = None, app_name: str = "otif",
+                  driver_memory: str | None = None) -> SparkSession:
+    """Session with the engine's SQL settings: AQE with skew-join splitting, ANSI, UTC, no UI.
+
+    Master, number of shuffle partitions and memory are the cluster's own; they are set only where given.
+    """
+    given = {"spark.master": master, "spark.sql.shuffle.partitions": partitions, "spark.driver.memory": driver_memory}
+    builder = (
+        SparkSession.builder.appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("OTIF_DRIVER_MEMORY", "16g"))
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .getOrCreate()
     )
+    for name, value in given.items():
+        if value is not None:
+            builder = builder.config(name, str(value))
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
@@ -36,13 +36,15 @@ def build_session(master: str | None = None, partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster this setting names shared storage and is only read here. When it
-    is unset (local tests) a fresh scratch folder is created and registered.
+    On a cluster this setting names shared storage and is only read here; a cluster
+    session without it is an error. Only a local session gets a scratch folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="otif-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", current)
