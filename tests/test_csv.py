@@ -55,3 +55,22 @@ def test_unchanged_sources_pass_and_changes_fail(spark):
         f.write("2\n")
     with pytest.raises(ValueError):
         assert_unchanged(before, fingerprints(spark, [p]))
+
+
+@pytest.mark.parametrize("line", ["1;2;3", "1"])
+def test_wrong_field_count_fails_with_pruned_columns(spark, line):
+    rows = read_extract(spark, write(f"A;B\n1;2\n{line}\n"))
+    with pytest.raises(Exception):
+        rows.select("A").collect()
+    with pytest.raises(Exception):
+        rows.count()
+
+
+def test_fingerprint_sees_one_changed_character(spark):
+    lines = [f"{i};x" for i in range(5000)]
+    p = write("\n".join(lines))
+    lines[4000] = "4000;y"
+    q = write("\n".join(lines))
+    found = {r.path.rsplit("/", 2)[1]: r for r in fingerprints(spark, [p, q]).collect()}
+    a, b = (found[os.path.basename(os.path.dirname(x))] for x in (p, q))
+    assert a.length == b.length and a.sha256 != b.sha256
