@@ -17,6 +17,7 @@ Stage = Callable[[DataFrame, str], DataFrame]
 @dataclass
 class Silver:
     validated: dict[str, Validated]
+    bronze: Mapping[str, DataFrame]
 
     def valid(self, name: str) -> DataFrame:
         return self.validated[name].valid
@@ -31,7 +32,7 @@ class Silver:
 
     @property
     def summary(self) -> DataFrame:
-        return reconcile.load_summary(self.validated)
+        return reconcile.load_summary(self.validated, self.bronze)
 
 
 def run_silver(bronze: Mapping[str, DataFrame], stage: Stage | None = None,
@@ -53,7 +54,7 @@ def run_silver(bronze: Mapping[str, DataFrame], stage: Stage | None = None,
             v = Validated(v.name, v.spec, stage(v.rows, f"silver_{name}"))
         out[name] = v
         parents[name] = v.valid
-    return Silver(out)
+    return Silver(out, bronze)
 
 
 def _with_parents(names: tuple[str, ...]) -> set[str]:

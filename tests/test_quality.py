@@ -2,11 +2,14 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF0001
 from otif.functions import parse_date, parse_number, reasons
 from otif.model import SPECS
+from otif.operators import quality
+from otif.operators.reconcile import assert_reconciled, load_summary
 from otif.plans.silver import run_silver
 from otif.sources.bindings import bronze_extracts
 
@@ -64,3 +67,18 @@ def test_version_resolution_keeps_only_newest_unique_date(spark):
     kept = silver.validated["ekko"].frame
     assert kept.groupBy("MANDT", "EBELN").count().filter("count > 1").join(
         kept.filter(~F.array_contains("_dq_errors", "CONFLICTING_KEY")), ["MANDT", "EBELN"], "left_semi").count() == 0
+
+
+def test_reconciliation_sees_lost_and_doubled_rows(spark):
+    raw = bronze_extracts(spark, SF0001)["lfa1"]
+    good = quality.validate("lfa1", raw, {})
+
+    def summary(rows):
+        return load_summary({"lfa1": quality.Validated("lfa1", good.spec, rows)}, {"lfa1": raw})
+
+    assert_reconciled(summary(good.rows))
+    lost = summary(good.rows.filter(F.xxhash64("LIFNR") % 2 == 0))
+    assert lost.first().bronze_rows == raw.count()
+    for broken in (lost, summary(good.rows.union(good.rows))):
+        with pytest.raises(ValueError):
+            assert_reconciled(broken)
