@@ -12,8 +12,10 @@ Equal texts share one node, signed once. Nodes that share a band of ``ROWS``
 registers are candidates: all pairs in a bucket of up to ``SMALL`` nodes; in a
 larger bucket every node is compared with one node of the bucket. Large buckets
 that then still hold several components are cut finer, by three further registers
-at a time, and the components compared again in the same way, so the work stays in
-proportion to the nodes. Pairs whose signatures agree in too few registers are
+at a time, and the components compared again in the same way. What is then still
+mixed is joined without caps, by prefix filtering: with the runs of each text ordered
+from rare to common, two texts at the threshold share one of their first few, and a
+template that many texts share stands at the end. Pairs whose signatures agree in too few registers are
 dropped (``SLACK`` standard deviations below the threshold); the others are verified
 on their exact multisets. Classes are the components of the verified links.
 
@@ -42,6 +44,8 @@ REGISTERS = BANDS * ROWS
 SLACK = 4.5
 SMALL = 12
 FINER = 5  # finer cuts of a large bucket, by three registers each
+SLOTS = 1 << 20  # of the counts that order runs by rarity; runs that share a slot cost time only
+BLOCK = 256  # nodes of a run that one cell of the prefix join compares with as many
 GOLDEN = 0x9E3779B97F4A7C15
 
 
@@ -193,6 +197,65 @@ def ordered(a, b) -> tuple:
     return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
 
+def ranked(bag: Bag, counts: np.ndarray) -> np.ndarray:
+    """The multiset as a set of (run, occurrence), from rare to common by the counts of their slots."""
+    runs = np.repeat(bag[0], bag[1])
+    nth = np.arange(len(runs)) - np.repeat(np.cumsum(bag[1]) - bag[1], bag[1])
+    tokens = mix64(runs + nth.astype(np.uint64) * np.uint64(GOLDEN))
+    return tokens[np.lexsort((tokens, counts[tokens % np.uint64(SLOTS)]))]
+
+
+def prefix_pairs(staging: Staging, nodes: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of nodes (node, root, text) of different roots, among them all that overlap by the threshold.
+
+    Of n runs the overlap holds at least threshold * n, and of the smaller text at least
+    2 * threshold / (1 + threshold) * n; so the first common run, in any fixed order, stands
+    among the others. A run of many nodes is dealt over cells of BLOCK by BLOCK nodes.
+    """
+    nodes = staging.put(nodes, "open")
+    flat = np.zeros(SLOTS, np.int64)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for bag in bags(batch.column(0).to_pylist()):
+                np.add.at(total, (ranked(bag, flat) % np.uint64(SLOTS)).astype(np.intp), 1)
+        used = np.flatnonzero(total)
+        for i in range(0, len(used), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(used[i : i + (1 << 16)]), pa.array(total[used[i : i + (1 << 16)]])], names=["slot", "n"])
+
+    slots = nodes.select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # SLOTS rows at most
+    counts = flat.copy()
+    counts[slots["slot"].to_numpy()] = slots["n"].to_numpy()
+    shared = nodes.sparkSession.sparkContext.broadcast(counts)
+    schema = pa.schema([("token", pa.int64()), ("node", pa.binary()), ("root", pa.binary()), ("size", pa.int64()), ("place", pa.int64()), ("early", pa.bool_())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
+        for batch in batches:
+            for i, bag in enumerate(bags(batch.column(2).to_pylist())):
+                tokens = ranked(bag, counts)
+                n = len(tokens)
+                probe, early = (n - math.ceil(n * share - 1e-9) + 1 for share in (threshold, 2 * threshold / (1 + threshold)))
+                tokens = tokens[:probe]
+                place = np.flatnonzero(counts[tokens % np.uint64(SLOTS)] > 1)  # the others are in no second text
+                if len(place):
+                    same = pa.array(np.full(len(place), i))
+                    yield arrow_batch(schema, {"token": tokens[place].view(np.int64), "node": batch.column(0).take(same), "root": batch.column(1).take(same),
+                                               "size": np.full(len(place), n), "place": place, "early": place < early})
+
+    prefixes = staging.put(nodes.mapInArrow(run, "token long, node binary, root binary, size long, place long, early boolean"), "prefixes")
+    cells = prefixes.groupBy("token").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi")
+    members = prefixes.join(cells.select("token", F.ceil(F.col("n") / BLOCK).alias("cells")), "token").withColumn("own", F.pmod(F.xxhash64("node"), "cells"))
+    other, fact = F.explode(F.expr("sequence(0L, cells - 1)")), F.struct("size", "node", "root", "place")
+    left = members.filter("early").select("token", F.col("own").alias("i"), other.alias("j"), fact.alias("x"))
+    right = members.select("token", other.alias("i"), F.col("own").alias("j"), fact.alias("y"))
+    least = f"{threshold / (1 + threshold)!r}D * (x.size + y.size) - 1e-6D"
+    fits = f"least(x.place, y.place) + least(x.size - x.place, y.size - y.place) >= {least}"
+    met = left.join(right, ["token", "i", "j"]).filter("x.root != y.root and struct(x.size, x.node) < struct(y.size, y.node)").filter(fits)
+    return met.select(*ordered(F.col("x.node"), F.col("y.node"))).distinct()
+
+
 def classes(staging: Staging, docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """Signed rows (doc_id, node), and per node: its least doc_id and the root of its component."""
     signed = staging.put(sign(docs), "signed")
@@ -221,8 +284,19 @@ def classes(staging: Staging, docs: DataFrame, threshold: float = THRESHOLD) ->
     again = candidates(fine.join(sizes.filter("lo != hi").drop("lo", "hi"), "key")).join(pairs, ["a", "b"], "left_anti")
     more = staging.put(verified(agreeing(again, signatures, threshold), texts, threshold), "more")
     if not more.isEmpty():
-        roots = staging.put(components(staging, links.union(more), "components-2"), "roots-2")
-    staging.drop("signatures", "shared", "pairs", "texts", "fine")
+        links = links.union(more)
+        roots = staging.put(components(staging, links, "components-2"), "roots-2")
+
+    # Buckets that are still mixed: every pair of their nodes that can reach the threshold.
+    mixed = shared.filter(F.col("n") > SMALL).select("key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_keys = mixed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("key")
+    mixed = staging.put(mixed.join(open_keys, "key").select("node", "root").distinct(), "mixed")
+    if not mixed.isEmpty():
+        rest = prefix_pairs(staging, texts.join(mixed, "node").select("node", "root", "text"), threshold)
+        rest = staging.put(verified(agreeing(rest, signatures, threshold), texts, threshold), "rest")
+        if not rest.isEmpty():
+            roots = staging.put(components(staging, links.union(rest), "components-3"), "roots-3")
+    staging.drop("signatures", "shared", "pairs", "texts", "fine", "mixed", "open", "prefixes")
     return signed, nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
