@@ -259,6 +259,22 @@ def test_edit_search_equals_dynamic_programming():
         assert decontam.edit_search(item, text) == levenshtein_search(item, text)
 
 
+@pytest.mark.parametrize("length", [8, 10, 14, 20, 40, 100, 200, 400])
+def test_decontamination_recall_by_length(length):
+    rnd = random.Random(length)
+    items = [(i, " ".join(f"w{rnd.randrange(3000)}" for _ in range(length))) for i in range(200)]
+    for mixed in (False, True):
+        texts = []
+        for _, item in items:
+            words = item.split()
+            for at in sorted(rnd.sample(range(length), length // 5), reverse=True):
+                kind = rnd.randrange(3) if mixed else 0  # replace, insert, delete
+                words[at : at + (kind != 1)] = [f"z{rnd.randrange(10**6)}"] * (kind != 2)
+            texts.append(" ".join([*(f"h{rnd.randrange(3000)}" for _ in range(rnd.randrange(40))), *words, "and", "so", "on"]))
+        found = decontam.Index(items).scan(texts)
+        assert sum(i in found[i] for i, _ in items) >= 0.95 * len(items)
+
+
 def test_decontamination(spark, con, texts, docs_of):
     items = con.execute("SELECT item_id, text FROM benchmark").fetchall()
     rnd = random.Random(6)
