@@ -5,7 +5,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF0001
+from sample_tables import SF0001
 from otif.model import BINDING_PARAMS, SPECS
 from otif.plans.pipeline import run_from_folder
 from otif.plans.registry import QUERIES

@@ -2,7 +2,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF0001
+from sample_tables import SF0001
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin")
 
@@ -11,7 +11,7 @@ def physical(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted({**entry.QUERIES, **entry.PROFILE_QUERIES}))
 def test_no_pairwise_joins(spark, name):
     plan = physical(entry.queries()[name](spark, SF0001))
     assert not [op for op in FORBIDDEN if op in plan], plan

@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF0001
+from sample_tables import SF0001
 from otif.functions import parse_date, parse_number, reasons
 from otif.model import SPECS
 from otif.operators import quality

@@ -5,7 +5,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from conftest import SF0001
+from sample_tables import SF0001
 from otif.plans.registry import context
 from otif.session import ensure_checkpoint_dir
 
