@@ -12,7 +12,7 @@ every kept term has some level in every source. Terms are blocked in order of th
 totals, so terms of a block share levels and their cells fold together.
 
 Shares are whole numbers, p = 1 + floor(PARTS * (count + 1) / (N + V)); a term's price is
-floor((p - q)^2 / q). ``audit`` gives, per (lang, source), the price against each other
+floor((p - q)^2 / q). Levels are named by their shares, so counts of equal share are one level. ``audit`` gives, per (lang, source), the price against each other
 source of the language, and the terms used more than in the language as a whole.
 
 Defined cases: null text, lang and source count as ''; groups without terms take part
@@ -42,6 +42,7 @@ BLOCK_ROWS, BLOCK_CELLS, TILE = 4096, 1 << 16, 1024  # terms and non-zero entrie
 LETTERS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256))
 
 EXACT = "decimal(38,0)"
+LONG_COUNT = (1 << 63) // PARTS - 1  # counts below it, times PARTS, fit into a long
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
@@ -77,11 +78,11 @@ def term_counts(docs: DataFrame) -> DataFrame:
 
 
 def joint_levels(cells: DataFrame) -> DataFrame:
-    """(lang, a, la, b, lb, terms) with a < b: non-zero cells of X'X, summed over blocks.
+    """(lang, a, pa, b, pb, terms) with a < b: non-zero cells of X'X, summed over blocks.
 
-    ``cells`` holds (lang, source, term, n, total) with n > 0.
+    ``cells`` holds (lang, source, term, total, p); a level is named by its share p.
     """
-    schema = pa.schema([("lang", pa.string()), ("a", pa.string()), ("la", pa.int64()), ("b", pa.string()), ("lb", pa.int64()), ("terms", pa.int64())])
+    schema = pa.schema([("lang", pa.string()), ("a", pa.string()), ("pa", pa.int64()), ("b", pa.string()), ("pb", pa.int64()), ("terms", pa.int64())])
 
     def product(lang: str, rows: list[tuple[int, str, int]]) -> Iterator[pa.RecordBatch]:
         """X'X of one block; ``rows`` holds (number of the term, source, level)."""
@@ -98,34 +99,35 @@ def joint_levels(cells: DataFrame) -> DataFrame:
                 apart = owner[at + i] < owner[to + j]
                 at, to = at[apart], to[apart]
                 if len(at):
-                    yield arrow_batch(schema, {"lang": [lang] * len(at), "a": [names[k] for k in (at + i).tolist()], "la": levels[at + i],
-                                               "b": [names[k] for k in (to + j).tolist()], "lb": levels[to + j], "terms": cell[at, to].astype(np.int64)})
+                    yield arrow_batch(schema, {"lang": [lang] * len(at), "a": [names[k] for k in (at + i).tolist()], "pa": levels[at + i],
+                                               "b": [names[k] for k in (to + j).tolist()], "pb": levels[to + j], "terms": cell[at, to].astype(np.int64)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple[int, str, int]] = []
         key, number = None, -1
         for batch in batches:
-            for lang, source, term, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for lang, source, term, p in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if key != (lang, term):
                     if rows and (key[0] != lang or number + 1 >= BLOCK_ROWS or len(rows) >= BLOCK_CELLS):
                         yield from product(key[0], rows)
                         rows = []
                     number = number + 1 if rows else 0
                     key = lang, term
-                rows.append((number, source, n))
+                rows.append((number, source, p))
         if rows:
             yield from product(key[0], rows)
 
     ordered = cells.repartition("lang", "term").sortWithinPartitions("lang", "total", "term", "source")
-    found = ordered.select("lang", "source", "term", "n").mapInArrow(run, "lang string, a string, la long, b string, lb long, terms long")
-    return found.groupBy("lang", "a", "la", "b", "lb").agg(F.sum("terms").alias("terms"))
+    found = ordered.select("lang", "source", "term", "p").mapInArrow(run, "lang string, a string, pa long, b string, pb long, terms long")
+    return found.groupBy("lang", "a", "pa", "b", "pb").agg(F.sum("terms").alias("terms"))
 
 
 def share(count: Column, size: Column, kept: Column) -> Column:
     """p of a term with ``count`` occurrences among ``size`` of ``kept`` terms; null without kept terms."""
-    top = F.lit(PARTS).cast("decimal(10,0)") * (count + 1).cast("decimal(20,0)")
-    whole = F.call_function("div", top, F.nullif(size + kept, F.lit(0)).cast("decimal(20,0)"))
-    return F.lit(1).cast("long") + whole.cast("long")
+    whole = F.nullif(size + kept, F.lit(0))
+    in_long = F.call_function("div", PARTS * (count + 1), whole)
+    in_decimal = F.call_function("div", F.lit(PARTS).cast("decimal(10,0)") * (count + 1).cast("decimal(20,0)"), whole.cast("decimal(20,0)"))
+    return 1 + F.when(count < LONG_COUNT, in_long).otherwise(in_decimal.cast("long"))
 
 
 def price(p: Column, q: Column) -> Column:
@@ -142,35 +144,36 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_TERMS)
     langs = cells.groupBy("lang", "term").agg(F.first("total").alias("total")).groupBy("lang").agg(F.count("*").alias("v"), F.sum("total").alias("all"))
     groups = docs.select(F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source")).distinct()
     groups = groups.join(cells.groupBy("lang", "source").agg(F.sum("n").alias("size")), ["lang", "source"], "left").join(langs, "lang", "left")
-    groups = staging.put(groups.na.fill(0, ["size", "v", "all"]), "groups")
-    joint = staging.put(joint_levels(cells), "joint")
+    groups = groups.na.fill(0, ["size", "v", "all"])
+    groups = staging.put(groups.withColumn("p0", share(F.lit(0).cast("long"), F.col("size"), F.col("v"))), "groups")
+    cells = cells.join(groups, ["lang", "source"]).withColumn("p", share(F.col("n"), F.col("size"), F.col("v")))
 
-    here, there = (groups.select("lang", F.col("source").alias(s), F.col("size").alias(f"size_{s}"), *["v"] * (s == "a")) for s in "ab")
-    zero = F.lit(0).cast("long")
-
-    def cost(la: Column, lb: Column) -> Column:
-        return price(share(la, F.col("size_a"), F.col("v")), share(lb, F.col("size_b"), F.col("v"))).cast(EXACT)
-
-    def part(frame: DataFrame, weight: Column, priced: Column) -> DataFrame:
-        return frame.groupBy("lang", "a", "b").agg(F.sum((weight.cast("decimal(20,0)") * priced).cast(EXACT)).alias("value"))
-
-    la, lb = F.col("la"), F.col("lb")
-    both = joint.union(joint.select("lang", F.col("b"), F.col("lb"), F.col("a"), F.col("la"), "terms"))
-    both = both.join(here, ["lang", "a"]).join(there, ["lang", "b"])
+    pa, pb, a0, b0 = (F.col(c) for c in ("pa", "pb", "a0", "b0"))
+    here = groups.select("lang", F.col("source").alias("a"), F.col("p0").alias("a0"), "v")
+    there = groups.select("lang", F.col("source").alias("b"), F.col("p0").alias("b0"))
     pairs = here.join(there, "lang").filter("a != b")
-    margins = cells.groupBy("lang", "source", F.col("n").alias("level")).agg(F.count("*").alias("terms"))
-    ours = margins.select("lang", F.col("source").alias("a"), F.col("level").alias("la"), "terms").join(pairs, ["lang", "a"])
-    theirs = margins.select("lang", F.col("source").alias("b"), F.col("level").alias("lb"), "terms").join(pairs, ["lang", "b"])
-    nothing = cost(zero, zero)
-    sums = part(both, F.col("terms"), cost(la, lb) - cost(la, zero) - cost(zero, lb) + nothing)
-    sums = sums.union(part(ours, F.col("terms"), cost(la, zero) - nothing)).union(part(theirs, F.col("terms"), cost(zero, lb) - nothing))
-    sums = sums.union(pairs.select("lang", "a", "b", F.when(F.col("v") > 0, F.col("v").cast("decimal(20,0)") * nothing).otherwise(F.lit(0)).cast(EXACT)))
-    priced = sums.groupBy("lang", "a", "b").agg(F.sum("value").cast("long").alias("value"))
+
+    def total(weight: Column, priced: Column) -> Column:
+        return F.sum((weight * priced).cast(EXACT))
+
+    def mixed(x: Column, y: Column, x0: Column, y0: Column) -> Column:
+        """What a cell prices beyond the margins."""
+        return price(x, y) - price(x, y0) - price(x0, y) + price(x0, y0)
+
+    cell = joint_levels(cells).join(here.drop("v"), ["lang", "a"]).join(there, ["lang", "b"])
+    cell = cell.groupBy("lang", "a", "b").agg(total(F.col("terms"), mixed(pa, pb, a0, b0)).alias("there"), total(F.col("terms"), mixed(pb, pa, b0, a0)).alias("back"))
+    cell = cell.select("lang", F.explode(F.array(F.struct("a", "b", F.col("there").alias("value")), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("back").alias("value")))).alias("x")).select("lang", "x.*")
+    margins = staging.put(cells.groupBy("lang", "source", "p").agg(F.count("*").alias("terms")), "margins")
+    ours = margins.select("lang", F.col("source").alias("a"), F.col("p").alias("pa"), "terms").join(pairs, ["lang", "a"])
+    ours = ours.groupBy("lang", "a", "b").agg(total(F.col("terms"), price(pa, b0) - price(a0, b0)).alias("value"))
+    theirs = margins.select("lang", F.col("source").alias("b"), F.col("p").alias("pb"), "terms").join(pairs, ["lang", "b"])
+    theirs = theirs.groupBy("lang", "a", "b").agg(total(F.col("terms"), price(a0, pb) - price(a0, b0)).alias("value"))
+    nowhere = pairs.select("lang", "a", "b", F.coalesce(F.col("v") * price(a0, b0), F.lit(0)).cast(EXACT).alias("value"))
+    priced = cell.union(ours).union(theirs).union(nowhere).groupBy("lang", "a", "b").agg(F.sum("value").cast("long").alias("value"))
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     by_pair = priced.select("lang", F.col("a").alias("source"), F.lit("pair").alias("part"), F.col("b").alias("item"), "value").withColumn("rank", F.row_number().over(order))
 
-    p, q = share(F.col("n"), F.col("size"), F.col("v")), share(F.col("total"), F.col("all"), F.col("v"))
-    terms = cells.join(groups, ["lang", "source"]).withColumn("p", p).withColumn("q", q).filter("p > q")
+    terms = cells.withColumn("q", share(F.col("total"), F.col("all"), F.col("v"))).filter("p > q")
     by_term = terms.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), price(F.col("p"), F.col("q")).cast("long").alias("value"))
     return by_pair.union(by_term.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top_terms))
 
