@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from otif.llm import dac, decontam, divergence, minhash, packing, quality, resample, secrets, sharding, substring, toxicity, urls
+from otif.llm import dac, decontam, divergence, minhash, packing, pii, quality, resample, secrets, sharding, substring, toxicity, urls
 from otif.llm.common import read
 from otif.llm.tokens import default_tokenizer
 
@@ -64,10 +64,15 @@ def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return pii.find_pii(docs, pii.fit(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_repeated_passages, op2_sharding, op3_url_filter, op4_quality_rules, op5_near_duplicates, op6_secrets,
-              op7_decontamination, op8_token_files, op9_toxicity, op10_packing, op11_source_divergence, op12_resampling)
+              op7_decontamination, op8_token_files, op9_toxicity, op10_packing, op11_source_divergence, op12_resampling, op13_personal_data)
 }
 
 ORACLE: dict[str, str] = {"op4_quality_rules": quality.SQL, "op11_source_divergence": divergence.SQL, "op12_resampling": resample.SQL}
