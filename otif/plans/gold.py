@@ -12,7 +12,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from otif.model import ITEM_KEY, SCHEDULE_KEY, Params
+from otif.model import ITEM_KEY, Params
 from otif.operators import fifo, metrics, ranking
 from otif.plans.silver import Silver
 
@@ -30,29 +30,28 @@ class Gold:
     def _valid(self, name: str) -> DataFrame:
         return self.silver.valid(name)
 
-    @cached_property
-    def item_keys(self) -> DataFrame:
-        # Key population of the raw extract, invalid records included (AGG-4): every
-        # raw record survives as one validated variant with normalised keys.
-        return self.silver.validated["ekpo"].rows.select(*ITEM_KEY).distinct()
-
     @cached_property
     def affected_quarantine(self) -> DataFrame:
         return metrics.recover_item_keys(self.silver.quarantine)
 
+    @cached_property
+    def item_population(self) -> DataFrame:
+        # Read three times (issues, unassigned rows, details): staged once.
+        return self._stage(metrics.item_population(self.silver.validated["ekpo"].rows, self._valid("eket"),
+                                                   self.affected_quarantine), "gold_item_population")
+
     @cached_property
     def issues(self) -> DataFrame:
-        return metrics.attributed_issues(self.affected_quarantine, self.item_keys)
+        return metrics.attributed_issues(self.item_population)
 
     @cached_property
     def unassigned(self) -> DataFrame:
-        return metrics.unassigned_quarantine(self.affected_quarantine, self.item_keys)
+        return metrics.unassigned_quarantine(self.affected_quarantine, self.item_population)
 
     @cached_property
     def details(self) -> DataFrame:
         # Read twice (item results and delivery evidence): stage it once.
-        return self._stage(metrics.item_details(self.item_keys, self._valid("ekpo"), self._valid("ekko"),
-                                                self._valid("lfa1"), self._valid("eket"), self.issues),
+        return self._stage(metrics.item_details(self.item_population, self._valid("ekko"), self._valid("lfa1")),
                            "gold_item_details")
 
     @cached_property
@@ -65,8 +64,7 @@ class Gold:
 
     @cached_property
     def item_performance(self) -> DataFrame:
-        amounts = metrics.delivery_amounts(self.evidence)
-        return self._stage(metrics.item_performance(self.details, amounts, self.params.as_of),
+        return self._stage(metrics.item_performance(self.details, self.evidence, self.params.as_of),
                            "gold_item_performance")
 
     @cached_property
@@ -76,8 +74,7 @@ class Gold:
 
     @cached_property
     def schedule_candidates(self) -> DataFrame:
-        keys = self.silver.validated["eket"].rows.select(*SCHEDULE_KEY).distinct()
-        return self._stage(metrics.schedule_candidates(keys, self._valid("eket"), self.item_performance),
+        return self._stage(metrics.schedule_candidates(self.silver.validated["eket"].rows, self.item_performance),
                            "gold_schedule_candidates")
 
     @cached_property

@@ -314,9 +314,15 @@ FROM v_ekpo i JOIN v_ekko o ON o.MANDT = i.MANDT AND o.EBELN = i.EBELN LEFT JOIN
     return c
 
 
+SHARED = {"details", "deliveries", "evidence", "amounts", "item_perf0", "sched_cands", "fifo_p", "fifo_d", "allocations", "alloc_s",
+          "sched_perf0", "sched_perf", "monthly0", "item_keys", "affected", "issues", "quarantine",
+          *(f"{kind}_{n}" for n in SPECS for kind in ("b", "v"))}
+
+
 def _with(final: str, extra: list[tuple[str, str]] = ()) -> str:
     ctes = silver_ctes() + gold_ctes() + list(extra)
-    return "WITH " + ",\n".join(f"{n} AS (\n{sql}\n)" for n, sql in ctes) + "\n" + final
+    # Steps that several others read are computed once.
+    return "WITH " + ",\n".join(f"{n} AS {'MATERIALIZED ' * (n in SHARED)}(\n{sql}\n)" for n, sql in ctes) + "\n" + final
 
 
 # Value shapes matching ``registry.comparable``.
