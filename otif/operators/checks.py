@@ -8,6 +8,7 @@ uniqueness costs one extra grouped count. The named checks are stacked into
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,42 +71,25 @@ def _any(conds: list[Column]) -> Column:
     return out
 
 
-def conservation_violations(allocations: DataFrame, balance: DataFrame, schedules: DataFrame) -> DataFrame:
-    """One row with the three FIFO conservation counts from one tagged aggregation (FIF-5)."""
-    parts = [
-        allocations.select(F.lit("a").alias("_k"), (F.col("allocated_quantity").isNull()
-                                                      | (F.col("allocated_quantity") <= 0)).alias("_bad")),
-        balance.select(F.lit("b").alias("_k"), (F.col("unallocated_quantity").isNull()
-                                                 | (F.col("unallocated_quantity") < 0)).alias("_bad")),
-        schedules.select(F.lit("s").alias("_k"),
-                         F.coalesce(F.col("allocated_quantity") > F.col("schedule_quantity"), F.lit(False)).alias("_bad")),
-    ]
-    k, bad = F.col("_k"), F.col("_bad")
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).agg(
-        F.count_if((k == "a") & bad).alias("bad_allocations"),
-        F.count_if((k == "b") & bad).alias("negative_remainders"),
-        F.count_if((k == "s") & bad).alias("overfilled_plans"))
-
-
-def assert_conserved(allocations: DataFrame, balance: DataFrame, schedules: DataFrame) -> None:
-    """Fail before publishing when allocation lost or duplicated quantity."""
-    row = conservation_violations(allocations, balance, schedules).first()
-    if any(row):
-        raise ValueError(f"FIFO quantity conservation failed: {row.asDict()}")
-
-
-def assert_branch_mapping(quarantine: DataFrame, branches: DataFrame) -> None:
-    """Stop when the branch reference is quarantined, empty or not unique (FLT-5)."""
-    q = quarantine.filter(F.col("source_table") == "branch_mapping").select(
-        F.lit("q").alias("_k"), F.lit(None).cast("string").alias("WERKS"))
-    b = branches.select(F.lit("b").alias("_k"), "WERKS")
-    k = F.col("_k")
-    row = q.unionByName(b).agg(F.count_if(k == "q").alias("q"), F.count_if(k == "b").alias("n"),
-                               F.count_distinct(F.when(k == "b", F.col("WERKS"))).alias("d")).first()
-    if row.q:
-        raise ValueError("Fix quarantined branch mapping records before publishing Gold.")
-    if row.n == 0 or row.n != row.d:
-        raise ValueError("Branch mapping must be nonempty and unique by WERKS.")
+#: Rows of published tables that would mean a lost or doubled quantity (FIF-5); counted while the tables are written.
+UNCONSERVED = {
+    "delivery_allocations": "allocated_quantity IS NULL OR allocated_quantity <= 0",
+    "delivery_allocation_balance": "unallocated_quantity IS NULL OR unallocated_quantity < 0",
+    "schedule_line_performance": "allocated_quantity > schedule_quantity",
+}
+
+
+def assert_conserved(violations: Mapping[str, int]) -> None:
+    """Stop before publishing when a table has rows that ``UNCONSERVED`` names."""
+    if broken := {table: n for table, n in violations.items() if n}:
+        raise ValueError(f"allocated quantities are not conserved: {broken}")
+
+
+def assert_branch_mapping(quarantined: int, branches: DataFrame) -> None:
+    """Stop unless every branch code is valid and has one name (FLT-5)."""
+    codes = branches.agg(F.count("*").alias("rows"), F.count_distinct("WERKS").alias("codes")).first()
+    if quarantined or not codes.rows or codes.rows != codes.codes:
+        raise ValueError(f"branch mapping: {quarantined} rows in quarantine, {codes.rows} valid rows with {codes.codes} codes")
 
 
 def published_grain_check(monthly: DataFrame, as_of: dt.date) -> DataFrame:

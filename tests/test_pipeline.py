@@ -1,13 +1,16 @@
 """End to end: delimited extracts → bronze → silver → gold, written and checked."""
 import os
 import tempfile
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from sample_tables import SF0001
 from otif.model import BINDING_PARAMS, SPECS
-from otif.plans.pipeline import run_from_folder
+from otif.operators import checks
+from otif.plans import release
+from otif.plans.pipeline import run_from_folder, run_pipeline
 from otif.plans.registry import QUERIES
 from otif.sources.bindings import bronze_extracts
 from otif.sources.csv import read_extracts, write_extract
@@ -48,3 +51,77 @@ def test_pipeline_publishes_checked_results(spark, landing):
     statuses = {r.branch_mapping_status for r in result.read(spark, "supplier_monthly")
                 .select("branch_mapping_status").distinct().collect()}
     assert statuses == {"MAPPED", "UNMAPPED", "NOT_APPLICABLE"}
+
+
+def stopped(self):
+    raise KeyboardInterrupt
+
+
+def published(spark, out):
+    now = release.manifest(spark, out)
+    return now["run"], {n: release.table(spark, out, n).count() for n in ("bronze_lips", "gold_worst_suppliers")}
+
+
+def test_a_failed_run_leaves_the_published_one(spark, landing, monkeypatch):
+    out = tempfile.mkdtemp(prefix="otif-out-")
+    bronze = {name: frame.limit(40) for name, frame in read_extracts(spark, landing).items()}
+    run_pipeline(spark, bronze, out, BINDING_PARAMS)
+    before = published(spark, out)
+    listed = release.manifest(spark, out)["tables"]
+    assert all(listed[n]["rows"] == release.table(spark, out, n).count() for n in ("bronze_eket", "gold_quality_summary"))
+
+    bad = {**bronze, "lips": bronze["lips"].withColumn("LFIMG", F.raise_error(F.lit("bad line")).cast("string"))}
+    with pytest.raises(Exception, match="bad line"):  # the last extract fails after seven tables were written
+        run_pipeline(spark, bad, out, BINDING_PARAMS)
+    monkeypatch.setattr(release.Release, "publish", stopped)
+    with pytest.raises(KeyboardInterrupt):  # stopped just before the switch
+        run_pipeline(spark, bronze, out, BINDING_PARAMS)
+    monkeypatch.undo()
+    assert published(spark, out) == before
+
+    lost = release.Release(spark, out)  # a driver that died: its folder stays, unpublished
+    lost.write(spark.range(3), "x", "bronze")
+    assert published(spark, out) == before
+    assert release.sweep(spark, out) == [lost.run] and published(spark, out) == before
+
+
+def test_lost_files_are_not_published(spark):
+    out = tempfile.mkdtemp(prefix="otif-out-")
+    run = release.Release(spark, out)
+    run.write(spark.range(100).repartition(4), "x", "bronze")
+    folder = os.path.join(run.folder, "bronze", "x")
+    part = next(f for f in sorted(os.listdir(folder)) if f.startswith("part-"))
+    os.replace(os.path.join(folder, part), os.path.join(out, "elsewhere"))
+    with pytest.raises(ValueError, match="rows were written"):
+        run.publish()
+    with pytest.raises(ValueError, match="nothing was published"):
+        release.manifest(spark, out)
+
+
+def test_rows_are_counted_once_when_tasks_are_retried(spark):
+    run = release.Release(spark, tempfile.mkdtemp(prefix="otif-out-"))
+    back = run.write(spark.range(1000).repartition(8), "x", "gold", evens=F.count_if(F.col("id") % 2 == 0))
+    assert back.count() == 1000 and run.tables["gold_x"]["rows"] == 1000 and run.metric("gold_x", "evens") == 500
+
+
+@pytest.mark.parametrize("table", list(checks.UNCONSERVED))
+def test_lost_quantity_stops_the_run(spark, table):
+    columns = "allocated_quantity decimal(38,6), unallocated_quantity decimal(38,6), schedule_quantity decimal(38,6)"
+    rows = {"delivery_allocations": (Decimal(0), None, None), "delivery_allocation_balance": (None, Decimal(-1), None),
+            "schedule_line_performance": (Decimal(2), None, Decimal(1))}
+    run = release.Release(spark, tempfile.mkdtemp(prefix="otif-out-"))
+    frame = spark.createDataFrame([rows[table]], columns)
+    run.write(frame, table, "gold", violations=F.count_if(F.expr(checks.UNCONSERVED[table])))
+    with pytest.raises(ValueError, match="not conserved"):
+        checks.assert_conserved({table: run.metric(f"gold_{table}", "violations")})
+    checks.assert_conserved({table: 0})
+
+
+def test_branch_mapping_guard(spark):
+    def branches(*codes):
+        return spark.createDataFrame([(c, "name") for c in codes], "WERKS string, BRANCH_NAME string")
+
+    checks.assert_branch_mapping(0, branches("1", "2"))
+    for quarantined, frame in ((1, branches("1")), (0, branches()), (0, branches("1", "1"))):
+        with pytest.raises(ValueError, match="branch mapping"):
+            checks.assert_branch_mapping(quarantined, frame)
