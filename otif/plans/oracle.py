@@ -457,6 +457,9 @@ FROM hp p JOIN hd d ON p.MANDT = d.MANDT AND p.WERKS = d.WERKS
               sum(LFIMG) OVER (PARTITION BY MANDT, WERKS ORDER BY WADAT_IST, VBELN, POSNR
                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS de
             FROM deliveries WHERE WADAT_IST <= {AS_OF}""")])
+    q["published_load"] = _with(" UNION ALL ".join(f"SELECT 'bronze_{n}' AS table_name, count(*) AS row_count FROM b_{n}" for n in SPECS))
+    q["quoted_line_breaks"] = _with("SELECT nullif(MANDT, '') AS MANDT, nullif(EBELN, '') AS EBELN, nullif(EBELP, '') AS EBELP, "
+                                    "concat(TXZ01, chr(10), '\"', MATNR, '\";', chr(10), chr(10), WERKS) AS TXZ01, nullif(MENGE, '') AS MENGE FROM b_ekpo")
     q["schedule_performance"] = _with(_select(_cols(
         "MANDT:s EBELN:s EBELP:s ETENR:s EINDT:d schedule_quantity:n LIFNR:s NAME1:s WERKS:s report_month:d "
         "evaluation_date:d exclusion_reasons:a is_allocatable:b is_evaluable:b allocated_quantity:n "

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from otif.model import ITEM_KEY, SPECS, BINDING_PARAMS
 from otif.operators import profile
-from otif.plans.oracle import RAW_FIELDS, date_sql, dbl, number_sql
+from otif.plans.oracle import RAW_FIELDS, date_sql, dbl
 from otif.plans.registry import comparable, context
 from otif.sources.bindings import duckdb_extract
 
@@ -33,13 +33,34 @@ PROFILE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "threshold_study": lambda spark, sf: comparable(profile.threshold_study(
         profile.candidate_preview(_raws(spark, sf), PARAMS.as_of), "candidate_items_preview")),
     "supplier_overview": lambda spark, sf: comparable(profile.supplier_overview(_raws(spark, sf))),
+    "supplier_footer": lambda spark, sf: comparable(profile.supplier_footer(profile.supplier_overview(_raws(spark, sf)))),
+    "order_date_range": lambda spark, sf: comparable(profile.order_date_range(_raws(spark, sf))),
+    "profile_findings": lambda spark, sf: comparable(profile.findings(profile.issues(_raws(spark, sf)))),
 }
 
 
 # --------------------------------------------------------------------------- oracle
 
 def _s(c: str) -> str:
-    return f"coalesce(trim({c}), '')"
+    return f"coalesce({_strip(c)}, '')"
+
+
+def _strip(c: str) -> str:
+    """Without outer white space, restated by code point."""
+    codes = (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)
+    return f"trim({c}, {' || '.join(f'chr({n})' for n in codes)})"
+
+
+def _day(c: str) -> str:
+    return f"CASE WHEN regexp_full_match({c}, '\\d\\d\\d\\d-\\d\\d-\\d\\d') THEN TRY_CAST({c} AS DATE) END"
+
+
+def _is_number(c: str) -> str:
+    return f"regexp_full_match({c}, '(\\+|-)?\\d+(\\.\\d+)?')"
+
+
+def _value(c: str) -> str:
+    return f"CASE WHEN {_is_number(c)} THEN TRY_CAST({c} AS DECIMAL(38,18)) END"
 
 
 def _bronze() -> str:
@@ -78,7 +99,7 @@ def _oracle() -> dict[str, str]:
                 f"SELECT '{n}' AS table_name, '{c}' AS column_name, {str(c in SPECS[n].key).lower()} AS key_column, "
                 f"count(*) FILTER (WHERE {_s(c)} = '') AS blank_rows, "
                 f"{dbl(f'round(CAST(CAST(count(*) FILTER (WHERE {_s(c)} = {chr(39)}{chr(39)}) * 100.0 / count(*) AS VARCHAR) AS DECIMAL(38,18)), 2)')} AS blank_pct, "
-                f"count(*) FILTER (WHERE {c} <> trim({c})) AS outer_whitespace_rows FROM b_{n}")
+                f"count(*) FILTER (WHERE {c} <> {_strip(c)}) AS outer_whitespace_rows FROM b_{n}")
     q["profile_blanks"] = head + " UNION ALL ".join(parts)
     parts = []
     for n in SPECS:
@@ -95,10 +116,10 @@ def _oracle() -> dict[str, str]:
     parts = []
     for n, spec in SPECS.items():
         for c in spec.dates:
-            p = date_sql(f"nullif({c}, '')")
+            p = _day(c)
             extra = "CAST(NULL AS BIGINT)"
             if n == "ekko" and c == "AEDAT":
-                extra = f"count(*) FILTER (WHERE ({p}) < ({date_sql(chr(110) + 'ullif(BEDAT, ' + chr(39) * 2 + ')')}))"
+                extra = f"count(*) FILTER (WHERE ({p}) < ({_day('BEDAT')}))"
             parts.append(f"SELECT '{n}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} = '') AS missing, "
                          f"count(*) FILTER (WHERE {c} <> '' AND ({p}) IS NULL) AS invalid_nonblank, "
                          f"CAST(min({p}) AS VARCHAR) AS min_date, CAST(max({p}) AS VARCHAR) AS max_date, "
@@ -107,10 +128,10 @@ def _oracle() -> dict[str, str]:
     parts = []
     for n, spec in SPECS.items():
         for c in spec.numbers:
-            p = number_sql(f"nullif({c}, '')")
+            p = _value(c)
             extra = "CAST(NULL AS BIGINT)"
             if n == "eket" and c == "WEMNG":
-                extra = f"count(*) FILTER (WHERE ({p}) > ({number_sql(chr(110) + 'ullif(MENGE, ' + chr(39) * 2 + ')')}))"
+                extra = f"count(*) FILTER (WHERE ({p}) > ({_value('MENGE')}))"
             parts.append(f"SELECT '{n}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} = '') AS missing, "
                          f"count(*) FILTER (WHERE {c} <> '' AND ({p}) IS NULL) AS invalid_nonblank, "
                          f"count(*) FILTER (WHERE ({p}) < 0) AS negative, count(*) FILTER (WHERE ({p}) = 0) AS zero, "
@@ -194,6 +215,42 @@ it AS (SELECT V AS LIFNR, count(*) AS order_items, count(*) FILTER (WHERE LOEKZ
 SELECT coalesce(v.LIFNR, o.LIFNR, it.LIFNR) AS LIFNR, v.NAME1, CAST(coalesce(o.orders, 0) AS BIGINT) AS orders,
        CAST(coalesce(it.order_items, 0) AS BIGINT) AS order_items, CAST(coalesce(it.nondeleted_items, 0) AS BIGINT) AS nondeleted_items
 FROM v FULL OUTER JOIN o ON o.LIFNR = v.LIFNR FULL OUTER JOIN it ON it.LIFNR = coalesce(v.LIFNR, o.LIFNR)"""
+    over = q["supplier_overview"][len(head):].replace("\nSELECT coalesce(v.LIFNR", "\n, overview AS (SELECT coalesce(v.LIFNR") + ")"
+    q["supplier_footer"] = head + over + " UNION ALL ".join(
+        f" SELECT '{m}' AS measure, CAST(sum({m}) AS BIGINT) AS total, {dbl(f'quantile_cont({m}, 0.5)')} AS median, max({m}) AS greatest, min({m}) AS least FROM overview"
+        for m in ("orders", "order_items", "nondeleted_items"))
+    day = date_sql("nullif(BEDAT, '')")
+    q["order_date_range"] = head + (f"SELECT CAST(min({day}) AS VARCHAR) AS first_date, CAST(max({day}) AS VARCHAR) AS last_date, "
+                                    f"count(*) FILTER (WHERE ({day}) IS NULL) AS without_date FROM {_unique('ekko')} o WHERE LIFNR <> ''")
+    found = []
+
+    def row(check: str, source: str, where: str, records: str = "count(*)") -> None:
+        found.append(f"SELECT '{check}' AS \"check\", CAST({records} AS BIGINT) AS records FROM {source} WHERE {where}")
+
+    for n, spec in SPECS.items():
+        key, cols, label = list(spec.key), RAW_FIELDS[n], n.upper()
+        kk, cc = ", ".join(key), ", ".join(cols)
+        row(f"{label}_missing_key", f"{_stripped(n)} s", _blank(key))
+        for c in spec.dates:
+            row(f"{label}_{c}_invalid_date", f"{_stripped(n)} s", f"{c} <> '' AND ({_day(c)}) IS NULL")
+        for c in spec.numbers:
+            row(f"{label}_{c}_invalid_number", f"{_stripped(n)} s", f"{c} <> '' AND NOT {_is_number(c)}")
+            row(f"{label}_{c}_negative", f"{_stripped(n)} s", f"({_value(c)}) < 0")
+        row(f"{label}_exact_duplicates", f"(SELECT count(*) AS k FROM b_{n} GROUP BY {cc}) e", "k > 1", "coalesce(sum(k), 0)")
+        row(f"{label}_key_conflicts", f"(SELECT count(*) AS k, count(DISTINCT ({cc})) AS v FROM {_stripped(n)} s WHERE NOT {_blank(key)} GROUP BY {kk}) e",
+            "v > 1", "coalesce(sum(k), 0)")
+    row("EKKO_change_before_order_date", f"{_stripped('ekko')} s", f"({_day('AEDAT')}) < ({_day('BEDAT')})")
+    row("EKET_received_above_scheduled_review", f"{_stripped('eket')} s", f"({_value('WEMNG')}) > ({_value('MENGE')})")
+    for child, parent, keys in profile.RELATIONS:
+        kk = ", ".join(keys)
+        on = " AND ".join(f"p.{k} = c.{k}" for k in keys)
+        source = (f"{_stripped(child)} c LEFT JOIN (SELECT {kk}, count(*) AS n FROM {_stripped(parent)} s WHERE NOT {_blank(keys)} GROUP BY {kk}) p ON {on}")
+        label = f"{child.upper()}_to_{parent.upper()}"
+        row(f"{label}_missing_parent", source, f"NOT {_blank(['c.' + k for k in keys])} AND p.n IS NULL")
+        row(f"{label}_ambiguous_parent", source, "p.n > 1")
+    found += [f"SELECT \"check\" || '_mismatch', mismatch_rows FROM ({q['profile_agreement'][len(head):]}) a",
+              f"SELECT 'schedule_delivery_many_to_many', count(*) FROM ({q['profile_fanout'][len(head):]}) f"]
+    q["profile_findings"] = head + "SELECT * FROM (" + " UNION ALL ".join(found) + ") t WHERE records > 0"
     return q
 
 

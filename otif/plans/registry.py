@@ -25,9 +25,11 @@ from otif.model import ITEM_KEY, SCHEDULE_KEY, SPECS, VERSION_COLUMN, BINDING_PA
 from otif.operators import access, checks, datasets, review, versions
 from otif.operators import fifo as fifo_ops
 from otif.operators import metrics as m
+from otif.plans import release
 from otif.plans.gold import Gold
 from otif.plans.silver import Silver, run_silver
 from otif.plans.stage import Stager
+from otif.sources import csv
 from otif.sources.bindings import bronze_extracts
 
 PARAMS = BINDING_PARAMS
@@ -400,7 +402,31 @@ def q_published_grain_check(spark, sf):
     return checks.published_grain_check(context(spark, sf).pub_monthly, PARAMS.as_of)
 
 
+# --------------------------------------------------------------------------- sources and publication
+
+def q_published_load(spark, sf):
+    """Rows per table of the manifest that one all-or-nothing load of the extracts publishes."""
+    root = Stager(spark).path("published_load")
+    run = release.Release(spark, root)
+    for name, frame in bronze_extracts(spark, sf).items():
+        run.write(frame, name, "bronze")
+    run.publish()
+    tables = release.manifest(spark, root)["tables"]  # a row per source
+    return spark.createDataFrame([(n, t["rows"]) for n, t in tables.items()], "table_name string, row_count long")
+
+
+def q_quoted_line_breaks(spark, sf):
+    """Order items whose descriptions hold line breaks, quotes and separators, written as an extract and read in splits."""
+    items = bronze_extracts(spark, sf)["ekpo"]
+    text = F.concat_ws("", F.col("TXZ01"), F.lit('\n"'), F.col("MATNR"), F.lit('";\n\n'), F.col("WERKS"))
+    path = Stager(spark).path("quoted_line_breaks")
+    csv.write_extract(items.select("MANDT", "EBELN", "EBELP", text.alias("TXZ01"), "MENGE"), path)
+    return csv.read_extract(spark, path, ["MANDT", "EBELN", "EBELP", "TXZ01", "MENGE"], multiline=True).drop("_source_file", "_loaded_at")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "published_load": q_published_load,
+    "quoted_line_breaks": q_quoted_line_breaks,
     "normalise_text": q_normalise_text,
     "parse_dates": q_parse_dates,
     "parse_numbers": q_parse_numbers,

@@ -36,8 +36,35 @@ def test_issue_samples_keep_first_rows_per_issue(spark):
 
 
 def test_findings_sorted_by_records_then_name(spark):
-    parts = {"x": spark.range(3), "y": spark.range(5), "z": spark.range(0), "w": spark.range(3)}
-    assert [(r.check, r.records) for r in profile.findings(parts).collect()] == [("y", 5), ("w", 3), ("x", 3)]
+    found = spark.createDataFrame([("x", 3), ("y", 4), ("y", 1), ("w", 3)], "check string, records long")
+    assert [(r.check, r.records) for r in profile.findings(found).collect()] == [("y", 5), ("w", 3), ("x", 3)]
+
+
+def test_a_second_parent_row_stops_the_join(spark):
+    child = spark.createDataFrame([("a",), ("a",), ("c",)], "k string")
+    parent = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    assert child.join(profile.one_row_per_key(parent, ["k"]), "k").count() == 2
+    twice = parent.union(parent.filter("k = 'a'"))
+    with pytest.raises(Exception, match="more than one row"):
+        child.join(profile.one_row_per_key(twice, ["k"]), "k").select("k").collect()
+
+
+@pytest.mark.parametrize("rows", [[("V1", 1.0), ("V1", 2.0)], [("V1", 1.5)], [("V1", -1.0)]])
+def test_threshold_study_stops_on_bad_counts(spark, rows):
+    counts = spark.createDataFrame([(dt.date(2026, 9, 1), "ALL", None, v, n) for v, n in rows],
+                                   "report_month date, scope string, WERKS string, LIFNR string, n double")
+    with pytest.raises(Exception, match="more than one row|whole numbers"):
+        profile.threshold_study(counts, "n").collect()
+
+
+def test_profiler_grammars_and_white_space(spark):
+    values = ["2024-02-29", "2023-02-29", "29.02.2024", "12.5", "12,5", "-0.000", "-0.0000001", "+7", "1e3", ".5", "1" * 30, " \u2003x\t"]
+    frame = profile.stripped(spark.createDataFrame([(v,) for v in values], "v string"))
+    got = frame.select("v", profile.iso_date("v").isNotNull(), profile.is_number("v"), profile.is_zero("v"), profile.is_negative("v")).collect()
+    by = {r[0]: tuple(r)[1:] for r in got}
+    assert by["2024-02-29"][0] and not by["2023-02-29"][0] and not by["29.02.2024"][0] and "x" in by
+    assert [v for v in by if by[v][1]] == ["12.5", "-0.000", "-0.0000001", "+7", "1" * 30]
+    assert [v for v in by if by[v][2]] == ["-0.000"] and [v for v in by if by[v][3]] == ["-0.0000001"]
 
 
 def test_threshold_study_without_cross_join(spark):
