@@ -44,6 +44,7 @@ MIN_WORDS = 8
 STRIDE = 4
 WINDOW, HOP = 13, 8  # words of an item's windows, and between their begins
 WALKS, REPEATS, SAMPLES = 4, 8, 4  # recall at RATE over 0.95 for items of any length (test)
+LANES = 4  # 64-bit lanes of a sketch of words
 REACH = 1.4  # steps sampled, as a multiple of the least length of the class; a walk advances a word every two steps
 BLOCK_ITEMS, BLOCK_BYTES = 20_000, 2 << 20
 SEPARATORS = SPACE + b".,;:!?\"'()[]{}<>|*#$%&-"
@@ -86,6 +87,14 @@ def window_starts(n: int) -> list[int]:
     return sorted({s for begin in {*range(0, last, HOP), last} | {0} for s in range(begin, begin + STRIDE)})
 
 
+def sketches(words: np.ndarray) -> np.ndarray:
+    """One bit of LANES * 64 for each word."""
+    out = np.zeros((len(words), LANES), np.uint64)
+    bit = (words >> np.uint64(20)) % np.uint64(64 * LANES)
+    out[np.arange(len(words)), (bit // np.uint64(64)).astype(np.intp)] = np.uint64(1) << (bit % np.uint64(64))
+    return out
+
+
 class Index:
     """LSH tables of a block of items; picklable, of a size bounded by the block."""
 
@@ -93,6 +102,8 @@ class Index:
         self.rate, self.repeats = rate, repeats
         self.items = [(item_id, h) for item_id, text in items if len(h := word_hashes([text], SEPARATORS)[0]) >= MIN_WORDS]
         self.distinct = [set(h.tolist()) for _, h in self.items]
+        self.sizes = np.array([len(h) for _, h in self.items], np.int64)
+        self.sketches = np.array([np.bitwise_or.reduce(sketches(h), axis=0) for _, h in self.items]).reshape(-1, LANES)
         variants = [(i, s, min(length_class(len(h) - s), WINDOW)) for i, (_, h) in enumerate(self.items) for s in window_starts(len(h))]
         self.plans = []  # per walk: step -> the keys (class, repeat) that sample it
         for walk in range(walks):
@@ -150,11 +161,7 @@ class Index:
             joined, begins = word_hashes(filled[part], SEPARATORS)
             if not len(joined):
                 continue
-            hits = self._candidates(joined)
-            if not len(hits):
-                continue
-            doc = np.searchsorted(begins, hits[:, 0], "right") - 1
-            for d, i, begin in np.unique(np.column_stack([doc, hits[:, 1], hits[:, 0] - hits[:, 2]]), axis=0).tolist():
+            for d, i, begin in self._plausible(joined, begins, self._candidates(joined)):
                 item, place = self.items[i][1], begin - int(begins[d])
                 slack = int(self.rate * len(item)) + 1
                 near = joined[begins[d] + max(0, place - slack) : min(begins[d] + max(0, place + len(item) + slack), begins[d + 1])]
@@ -179,7 +186,37 @@ class Index:
                 if n.any():
                     entry = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
                     out.append(np.column_stack([np.repeat(starts[maybe], n), item[entry], shift[entry]]))
-        return np.unique(np.concatenate(out), axis=0)
+        return np.concatenate(out)
+
+    def _plausible(self, words: np.ndarray, begins: np.ndarray, hits: np.ndarray) -> list[list[int]]:
+        """(text, item, word at which it would begin) of the hits whose surroundings may hold enough of the item's words.
+
+        An edit takes at most one of the item's words away, hence at most one bit of its sketch.
+        """
+        if not len(hits):
+            return []
+        start, item, shift = hits.T
+        doc = np.searchsorted(begins, start, "right") - 1
+        pad = int(shift.max())
+        code = np.unique((doc * (len(words) + pad + 1) + start - shift + pad) * len(self.items) + item)
+        item, code = code % len(self.items), code // len(self.items)
+        doc, begin = code // (len(words) + pad + 1), code % (len(words) + pad + 1) - pad
+        allowed = (self.rate * self.sizes[item]).astype(np.int64)
+        low = np.maximum(begins[doc], begin - allowed - 1)
+        high = np.minimum(begins[doc + 1], np.maximum(begin, begins[doc]) + self.sizes[item] + allowed + 1)
+        missing = np.zeros(len(code), np.int64)
+        level, ors = 0, sketches(words)
+        depth = np.frexp((high - low).astype(np.float64))[1] - 1  # 2 ** depth words are at most the stretch
+        while True:  # ors[i] covers 2 ** level words from i on
+            at = np.flatnonzero(depth == level)
+            held = ors[low[at]] | ors[high[at] - (1 << level)]
+            missing[at] = np.bitwise_count(self.sketches[item[at]] & ~held).sum(axis=1)
+            if level >= depth.max():
+                break
+            ors = ors[: len(ors) - (1 << level)] | ors[1 << level :]
+            level += 1
+        keep = missing <= allowed
+        return np.column_stack([doc, item, begin])[keep].tolist()
 
 
 def blocks(benchmark: DataFrame) -> Iterator[Index]:

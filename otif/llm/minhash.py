@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from otif.llm.common import Staging, arrow_batch, components, fresh, mix64, text_key, word_hashes
+from otif.llm.common import Staging, arrow_batch, components, fresh, mix64, text_key, tidy, word_hashes
 from otif.llm.tokens import groups
 
 WORDS = 5
@@ -46,6 +46,7 @@ SMALL = 12
 FINER = 5  # finer cuts of a large bucket, by three registers each
 SLOTS = 1 << 20  # of the counts that order runs by rarity; runs that share a slot cost time only
 BLOCK = 256  # nodes of a run that one cell of the prefix join compares with as many
+LANES = 16  # 64-bit words of a text's parities
 GOLDEN = 0x9E3779B97F4A7C15
 
 
@@ -136,7 +137,7 @@ def sign(docs: DataFrame) -> DataFrame:
             yield arrow_batch(schema, {"doc_id": batch.column(0), "node": batch.column(1), "signature": signatures, "bands": bands})
 
     rows = docs.filter("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("node"), "text")
-    return rows.mapInArrow(run, "doc_id long, node binary, signature binary, bands array<long>")
+    return rows.mapInArrow(tidy(run), "doc_id long, node binary, signature binary, bands array<long>")
 
 
 def agreeing(pairs: DataFrame, signatures: DataFrame, threshold: float) -> DataFrame:
@@ -149,7 +150,7 @@ def agreeing(pairs: DataFrame, signatures: DataFrame, threshold: float) -> DataF
             left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, REGISTERS) for c in (2, 3))
             yield pa.RecordBatch.from_arrays(batch.columns[:2], schema=schema).filter(pa.array((left == right).sum(axis=1) >= least))
 
-    return with_sides(pairs, signatures, "signature").mapInArrow(run, "a binary, b binary")
+    return with_sides(pairs, signatures, "signature").mapInArrow(tidy(run), "a binary, b binary")
 
 
 def with_sides(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
@@ -175,7 +176,7 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
             keep = [overlap(x, y) >= threshold for x, y in zip(left, right, strict=True)]
             yield pa.RecordBatch.from_arrays(batch.columns[:2], schema=schema).filter(pa.array(keep, pa.bool_()))
 
-    return with_sides(pairs, texts, "text").mapInArrow(run, "a binary, b binary")
+    return with_sides(pairs, texts, "text").mapInArrow(tidy(run), "a binary, b binary")
 
 
 def candidates(members: DataFrame) -> DataFrame:
@@ -210,7 +211,9 @@ def prefix_pairs(staging: Staging, nodes: DataFrame, threshold: float) -> DataFr
 
     Of n runs the overlap holds at least threshold * n, and of the smaller text at least
     2 * threshold / (1 + threshold) * n; so the first common run, in any fixed order, stands
-    among the others. A run of many nodes is dealt over cells of BLOCK by BLOCK nodes.
+    among the others. A run of many nodes is dealt over cells of BLOCK by BLOCK nodes. Of the
+    pairs that meet there, those are left out within the join whose parities (one bit for an odd number of
+    runs in each of 64 * LANES classes) prove more differing runs than the threshold allows.
     """
     nodes = staging.put(nodes, "open")
     flat = np.zeros(SLOTS, np.int64)
@@ -228,31 +231,36 @@ def prefix_pairs(staging: Staging, nodes: DataFrame, threshold: float) -> DataFr
     counts = flat.copy()
     counts[slots["slot"].to_numpy()] = slots["n"].to_numpy()
     shared = nodes.sparkSession.sparkContext.broadcast(counts)
-    schema = pa.schema([("token", pa.int64()), ("node", pa.binary()), ("root", pa.binary()), ("size", pa.int64()), ("place", pa.int64()), ("early", pa.bool_())])
+    schema = pa.schema([("token", pa.int64()), ("node", pa.binary()), ("root", pa.binary()), ("size", pa.int64()), ("place", pa.int64()), ("early", pa.bool_()), ("parity", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in batches:
             for i, bag in enumerate(bags(batch.column(2).to_pylist())):
-                tokens = ranked(bag, counts)
+                tokens = bagged = ranked(bag, counts)
                 n = len(tokens)
                 probe, early = (n - math.ceil(n * share - 1e-9) + 1 for share in (threshold, 2 * threshold / (1 + threshold)))
                 tokens = tokens[:probe]
                 place = np.flatnonzero(counts[tokens % np.uint64(SLOTS)] > 1)  # the others are in no second text
                 if len(place):
                     same = pa.array(np.full(len(place), i))
+                    odd = np.bincount((mix64(bagged) % np.uint64(64 * LANES)).astype(np.intp), minlength=64 * LANES) & 1
+                    parity = pa.array([np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()], pa.list_(pa.int64())).take(pa.array(np.zeros(len(place), np.int64)))
                     yield arrow_batch(schema, {"token": tokens[place].view(np.int64), "node": batch.column(0).take(same), "root": batch.column(1).take(same),
-                                               "size": np.full(len(place), n), "place": place, "early": place < early})
+                                               "size": np.full(len(place), n), "place": place, "early": place < early, "parity": parity})
 
-    prefixes = staging.put(nodes.mapInArrow(run, "token long, node binary, root binary, size long, place long, early boolean"), "prefixes")
+    prefixes = staging.put(nodes.mapInArrow(tidy(run), "token long, node binary, root binary, size long, place long, early boolean, parity array<long>"), "prefixes")
+    shared.destroy()
     cells = prefixes.groupBy("token").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi")
     members = prefixes.join(cells.select("token", F.ceil(F.col("n") / BLOCK).alias("cells")), "token").withColumn("own", F.pmod(F.xxhash64("node"), "cells"))
-    other, fact = F.explode(F.expr("sequence(0L, cells - 1)")), F.struct("size", "node", "root", "place")
+    other, fact = F.explode(F.expr("sequence(0L, cells - 1)")), F.struct("size", "node", "root", "place", "parity")
     left = members.filter("early").select("token", F.col("own").alias("i"), other.alias("j"), fact.alias("x"))
     right = members.select("token", other.alias("i"), F.col("own").alias("j"), fact.alias("y"))
     least = f"{threshold / (1 + threshold)!r}D * (x.size + y.size) - 1e-6D"
     fits = f"least(x.place, y.place) + least(x.size - x.place, y.size - y.place) >= {least}"
-    met = left.join(right, ["token", "i", "j"]).filter("x.root != y.root and struct(x.size, x.node) < struct(y.size, y.node)").filter(fits)
+    differ = "aggregate(zip_with(x.parity, y.parity, (p, q) -> bit_count(p ^ q)), 0, (s, n) -> s + n)"  # each other token flips one bit
+    near = f"{differ} <= {(1 - threshold) / (1 + threshold)!r}D * (x.size + y.size) + 1e-6D"
+    met = left.join(right, ["token", "i", "j"]).filter("x.root != y.root and struct(x.size, x.node) < struct(y.size, y.node)").filter(fits).filter(near)
     return met.select(*ordered(F.col("x.node"), F.col("y.node"))).distinct()
 
 

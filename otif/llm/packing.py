@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from otif.llm.common import Staging, arrow_batch, prefix_sums
+from otif.llm.common import Staging, arrow_batch, prefix_sums, tidy
 from otif.llm.tokens import encode_texts
 
 CAPACITY = 2048
@@ -146,7 +146,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_i
             yield arrow_batch(schema, out)
 
     ddl = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ddl)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), ddl)
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:

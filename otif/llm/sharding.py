@@ -107,7 +107,7 @@ def shard_by_bytes(docs: DataFrame, shards: int, sketch: int = SKETCH) -> DataFr
     staging = Staging(docs.sparkSession, "sharding")
     rows = staging.put(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), (utf8_bytes(F.col("text")) + OVERHEAD).alias("size"),
-        F.crc32("text").alias("text_crc32"), F.coalesce(text_key(F.col("text")), F.lit(b"")).alias("key")), "rows")
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.coalesce(text_key(F.col("text")), F.lit(b"")).alias("key")), "rows")
     groups = rows.groupBy("key").agg(F.min("doc_id").alias("first"), F.sum("size").alias("size"), F.count("*").alias("n"))
     groups = prefix_sums(staging, groups, ["first", "key"], {"end": "size", "rows": "n"}, "groups")
     cuts = minimax_cuts(groups, shards, sketch)

@@ -13,7 +13,8 @@ regression, fitted on that sample. Scores use the text alone.
 
 Defined cases: a null text scores as an empty one; an empty text scores the model's
 bias; without labels of both kinds every score is 0; repeated rows score alike; null
-labels and null doc_ids of labels are not learned from; an empty table gives an empty result; other
+labels and null doc_ids of labels are not learned from; of contradictory labels of an id the toxic one counts; a null doc_id is not
+held out; an empty table gives an empty result; other
 columns are not read (``without_toxic`` passes all on).
 """
 
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from otif.llm.common import arrow_batch
+from otif.llm.common import arrow_batch, release_memory, tidy
 from otif.llm.tokens import groups
 
 TRAIN_ROWS = 12_000
@@ -39,7 +40,7 @@ MIN_Z = 5.0
 MIN_TOXIC = 3
 PREFIXES = (4, 5)  # ascending
 REJECT = 0.7
-MEMO = 300_000  # words remembered by a worker
+MEMO = 60_000  # words remembered by a task
 
 #: What a sign may stand for, and its channel cost (fixed values).
 IMITATES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "b", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i",
@@ -78,7 +79,7 @@ def count_trigrams(docs: DataFrame) -> np.ndarray:
         at = np.flatnonzero(total)
         yield arrow_batch(schema, {"cell": at, "n": total[at]})
 
-    counted = docs.select("text").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()  # at most SYMBOLS ** 3 rows
+    counted = docs.select("text").mapInArrow(tidy(run), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()  # at most SYMBOLS ** 3 rows
     out = np.zeros(SYMBOLS**3, np.int64)
     for cell, n in counted:
         out[cell] = n
@@ -179,16 +180,26 @@ class Model:
         seen = self._features(text or "")
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.bias + sum(self.weights[f] for f in sorted(seen))))))
 
+    def scores(self, parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        """Scores of a task's texts; what was remembered is dropped at the task's end."""
+        try:
+            for texts in parts:
+                yield pd.Series([self.score(t) for t in texts], dtype=float)
+        finally:
+            self.memo.clear()
+            release_memory()
+
 
 def held_out(doc_id: Column) -> Column:
-    return F.crc32(doc_id.cast("long").cast("string")) % 3 == 1
+    """Whether crc32 of the id as text leaves 1 when divided by 3; a null id is not held out."""
+    return F.coalesce(F.crc32(doc_id.cast("long").cast("string")) % 3 == 1, F.lit(False))
 
 
 def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     """Language model over all ``docs``; weights from ``train_rows`` labelled rows that are not held out."""
     lm = log_costs(count_trigrams(docs))
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
-    usable = usable.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).dropDuplicates(["doc_id"])
+    usable = usable.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
     shared = docs.sparkSession.sparkContext.broadcast(lm)
     schema = pa.schema([("row", pa.binary()), ("toxic", pa.int32()), ("feature", pa.string())])
@@ -208,7 +219,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("text is not null").join(F.broadcast(sample), "doc_id")  # bounded by train_rows
     texts = texts.select(F.unhex(F.md5("text")).alias("row"), "toxic", "text").groupBy("row").agg(F.max("toxic").alias("toxic"), F.first("text").alias("text"))
-    rows = texts.mapInArrow(run, "row binary, toxic int, feature string").persist()
+    rows = texts.mapInArrow(tidy(run), "row binary, toxic int, feature string").persist()
     try:
         counts = rows.groupBy("feature").agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).filter((F.col("t") >= MIN_TOXIC) | (F.col("feature") == ""))
         total = {r["feature"]: (r["t"], r["n"]) for r in counts.filter("feature = ''").collect()}
@@ -223,6 +234,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
         kept = rows.filter(F.col("feature").isin(*best, "")).groupBy("row").agg(F.first("toxic").alias("toxic"), F.collect_list("feature").alias("features")).orderBy("row").collect()  # train_rows at most
     finally:
         rows.unpersist()
+        shared.destroy()
     x, y = np.zeros((len(kept), len(best) + 1)), np.array([r["toxic"] for r in kept], float)
     x[:, -1] = 1
     for i, r in enumerate(kept):
@@ -251,8 +263,8 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.score(t) for t in texts], dtype=float)
+    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        return shared.value.scores(parts)
 
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), score("text").alias("score"))
     return out.withColumn("predicted", F.when(F.col("score") >= REJECT, 1).otherwise(0))
@@ -263,7 +275,8 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")
-    def clean(texts: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.score(t) < REJECT for t in texts], dtype=bool)
+    def clean(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for scores in shared.value.scores(parts):
+            yield scores < REJECT
 
     return docs.filter(clean("text"))
