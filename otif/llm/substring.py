@@ -1,12 +1,14 @@
 """Removal of repeated passages by hashing normalised units.
 
-A unit is a sentence: text is cut at line breaks and after sentence marks followed
-by white space; a unit of more than ``LONG`` words is cut further after words whose
-hash says so, so equal passages are cut alike wherever they stand. A unit is normalised
-(words only; A-Z and À-Þ in lower case) and hashed to 128 bits; digests are counted over all
-documents and the occurrence ranked first (least doc_id, then row, then place)
-stays. Neighbouring repeated units form a run; a run of at least ``MIN_WORDS``
-words is removed, a shorter one (a licence line, a stock phrase) is left.
+A unit is a sentence or a part of one: text is cut at line breaks and after sentence marks
+followed by white space, and, where none of these is within ``NEAR`` words on either side, after
+each word whose hash is the least of those words. So every cut depends on its ``NEAR``
+neighbours only, and equal passages are cut alike wherever they stand, but for their outermost
+words. A unit is normalised (words only; A-Z and À-Þ in lower case) and hashed to 128 bits;
+digests are counted over all documents and the occurrence ranked first (least doc_id, then row,
+then place) stays. Neighbouring repeated units form a run; a run of at least ``MIN_WORDS`` words
+is removed, a shorter one (a licence line, a stock phrase) is left. A run ends at unit borders,
+so a few words of a passage without punctuation may stay at either end.
 
 Offsets are those of the original text, in code points, end exclusive. Defined cases:
 null and blank texts have no units; repeated rows count as repetitions of the first; a
@@ -28,8 +30,7 @@ from otif.llm.common import SPACE, Staging, arrow_batch, polynomials, scan_words
 from otif.llm.tokens import groups
 
 MIN_WORDS = 25
-LONG = 24
-CUT_AFTER = 16  # within a long unit one word in so many ends a unit
+NEAR = 3  # words on either side that decide about a cut without a mark
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 SEPARATORS = SPACE + b".,;:!?\"'()[]{}<>|*#$%&-"
@@ -47,8 +48,7 @@ def spans(texts: Sequence[str]) -> dict[str, np.ndarray]:
     after = np.append(w.starts[1:], len(w.data))
     lines, marks, spaces = (p[after] - p[w.ends] for p in passed)
     last = (lines > 0) | ((marks > 0) & (spaces > 0))  # words that end a unit
-    sizes = np.diff(np.flatnonzero(np.concatenate([[True], last])))
-    last |= np.repeat(sizes > LONG, sizes) & (w.hashes % np.uint64(CUT_AFTER) == 0)
+    last |= inner_cuts(w.hashes, last)
     first = np.flatnonzero(np.concatenate([[True], last[:-1]]))
     sizes = np.diff(np.append(first, len(last)))
     hi, lo = (polynomials(w.hashes, sizes, base).view(np.int64) for base in BASES)
@@ -63,6 +63,20 @@ def spans(texts: Sequence[str]) -> dict[str, np.ndarray]:
     return {"text": text, "unit": unit, "start": points[start] - points[w.texts[text]], "end": points[end] - points[w.texts[text]], "words": sizes, "hi": hi, "lo": lo}
 
 
+def inner_cuts(hashes: np.ndarray, last: np.ndarray, near: int = NEAR) -> np.ndarray:
+    """Words whose hash is the least among their neighbours (of equal ones none), no unit ending there."""
+    cut = np.zeros(len(hashes), bool)
+    if len(hashes) > 2 * near:
+        own = hashes[near:-near]
+        ended = np.concatenate([[0], np.cumsum(last)])
+        inner = ended[2 * near + 1 :] == ended[: -2 * near - 1]
+        for k in range(2 * near + 1):
+            if k != near:
+                inner &= own < hashes[k : k + len(own)]
+        cut[near:-near] = inner
+    return cut
+
+
 def numbered(docs: DataFrame) -> DataFrame:
     return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
 
