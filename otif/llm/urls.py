@@ -68,13 +68,12 @@ def fits(rule: str, host: Column, path: Column) -> Column:
 
 def buckets(host: Column, path: Column, size: int = BUCKETS) -> Column:
     """Buckets of the runs of ``^host$path$``."""
-    text = F.concat(F.lit("^"), host, F.lit("$"), path, F.lit("$"))
-
-    def bucket(i: Column) -> Column:
-        a, b, c = (F.ascii(F.substring(text, i + k, F.lit(1))) for k in range(GRAM))
-        return F.pmod(a * 31 * 31 + b * 31 + c, F.lit(size)).cast("int")
-
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - (GRAM - 1), F.lit(1))), bucket)
+    codes = F.transform(F.split(F.concat(F.lit("^"), host, F.lit("$"), path, F.lit("$")), ""), F.ascii)
+    runs = [F.slice(codes, k + 1, F.size(codes) - (GRAM - 1)) for k in range(GRAM)]  # each evaluated once for a url
+    mixed = runs[0]
+    for following in runs[1:]:
+        mixed = F.zip_with(mixed, following, lambda a, b: a * 31 + b)
+    return F.transform(mixed, lambda x: F.pmod(x, F.lit(size)).cast("int"))
 
 
 def labelled(spark: SparkSession) -> DataFrame:
