@@ -3,8 +3,11 @@
 The patterns find assignments, access keys and long hex runs. Besides, the value in
 a credential context (``CONTEXT``) is scored as a password: dynamic programming
 finds its cheapest segmentation into words, dates, repeats, keyboard walks and
-brute-force spans, costs being log10 of the guesses each needs. Values of at least
-``MIN_GUESSES`` that overlap no pattern become spans of kind ``value``.
+brute-force spans, costs being log10 of the guesses each needs. A word costs its rank
+in a lexicon: ``WORDS``, then the ``LEXICON`` most frequent words of all documents, counted
+outside the values of credential contexts and patterns; a run of letters that is no such word is
+guessed letter by letter. Values of at least ``MIN_GUESSES`` that overlap no pattern become
+spans of kind ``value``.
 
 Spans are code points, end exclusive. Defined cases: a null text is empty; an empty
 text has no spans; repeated rows are scanned alike; an empty table gives an empty
@@ -16,8 +19,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
+from itertools import accumulate
 
 import pandas as pd
 import pyarrow as pa
@@ -36,7 +41,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 
 CONTEXT = re.compile(
-    r"""(?<![A-Za-z0-9])(?:[A-Za-z0-9]+[_-])*(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|auth|bearer|pin|(?:api|access|private|signing)[_ -]?key)["']?"""
+    r"""(?<![A-Za-z0-9])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|auth|bearer|pin|(?:api|access|private|signing)[_ -]?key)["']?"""
     r"""(?:\x20*(?:[:=]|=>)\x20*|\x20is\x20)["']?([^\s"'<>,;]{6,})""", re.IGNORECASE | re.ASCII)
 HINTS = ("pass", "pwd", "secret", "token", "credential", "auth", "bearer", "pin", "key")
 
@@ -52,11 +57,13 @@ WORDS = (
     "required optional expired invalid missing hidden placeholder redacted removed"
 ).split()
 RANK = {w: i + 1 for i, w in enumerate(dict.fromkeys(WORDS))}
-VOCABULARY = 200_000  # guesses for a plain lower-case word that is not listed
+LEXICON = 50_000  # words taken from the documents
+LONGEST = 20  # letters of a word of the lexicon
+FLUSH = 200_000  # words that a task counts before it passes them on
 KEY_ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 LEET = str.maketrans("0134578@$!", "oieastbasi")
 DATE = re.compile(r"(?:19|20)\d\d[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)\d\d|(?:19|20)\d\d")
-PLAIN = re.compile(r"[a-z]{2,20}|[A-Z][a-z]{1,19}")
+WORD = re.compile(rf"(?<![a-z])[a-z]{{3,{LONGEST}}}(?![a-z])")
 
 
 def _neighbours() -> dict[str, set[str]]:
@@ -78,20 +85,17 @@ def _brute(c: str) -> float:
     return math.log10(10 if c.isdigit() else 26 if c.isalpha() else 33)
 
 
-def segments(value: str) -> Iterator[tuple[int, int, float]]:
+def segments(value: str, ranks: dict[str, int] = RANK) -> Iterator[tuple[int, int, float]]:
     """(start, end, log10 guesses) of the patterned stretches of a value."""
     low = value.lower()
     plain = low.translate(LEET)
-    longest = max(map(len, RANK))
     for i in range(len(value)):
-        for j in range(i + 2, min(len(value), i + longest) + 1):
-            rank = RANK.get(low[i:j]) or (RANK.get(plain[i:j], 0) * 4 if not low[i:j].isdigit() else 0)
+        for j in range(i + 2, min(len(value), i + LONGEST) + 1):
+            rank = ranks.get(low[i:j]) or (ranks.get(plain[i:j], 0) * 4 if not low[i:j].isdigit() else 0)
             if rank:
                 yield i, j, math.log10(rank * (1 if low[i:j] == value[i:j] else 3) + 1)
         if m := DATE.match(value, i):
             yield i, m.end(), math.log10(200 if m.end() - i == 4 else 40_000)
-        if m := PLAIN.match(value, i):
-            yield i, m.end(), math.log10(VOCABULARY)
     i = 0
     while i < len(value):  # runs of one character
         j = i
@@ -121,19 +125,18 @@ def segments(value: str) -> Iterator[tuple[int, int, float]]:
             i = j
 
 
-@lru_cache(maxsize=20_000)
-def guess_cost(value: str) -> float:
-    """log10 of the guesses of the cheapest segmentation."""
+def guess_cost(value: str, ranks: dict[str, int] = RANK) -> float:
+    """log10 of the guesses of the cheapest segmentation; ``ranks`` gives the words their places in the lexicon."""
     best = [0.0] * (len(value) + 1)
     ending: dict[int, list[tuple[int, float]]] = {}
-    for i, j, cost in segments(value):
+    for i, j, cost in segments(value, ranks):
         ending.setdefault(j, []).append((i, cost))
     for j in range(1, len(value) + 1):
         best[j] = min([best[j - 1] + _brute(value[j - 1]), *(best[i] + cost for i, cost in ending.get(j, ()))])
     return best[-1]
 
 
-def scan(text: str) -> list[tuple[int, int, int, int]]:
+def scan(text: str, ranks: dict[str, int] = RANK) -> list[tuple[int, int, int, int]]:
     """(start, number of the kind, end, start of the secret itself), in order."""
     low = text.lower()
     found = []
@@ -144,14 +147,44 @@ def scan(text: str) -> list[tuple[int, int, int, int]]:
     found += [(m.start(), 2, m.end(), m.start()) for m in HEX.finditer(text)]
     if any(h in low for h in HINTS):
         base = sorted((a, b) for a, _, b, _ in found)
+        begins, reach = [a for a, _ in base], list(accumulate((b for _, b in base), max, initial=0))
         for m in CONTEXT.finditer(text):
             value = m[1].rstrip(".!?:)")
             a, b = m.start(1), m.start(1) + len(value)
-            if len(value) >= 6 and not any(x < b and a < y for x, y in base) and guess_cost(value) >= MIN_GUESSES:
+            if len(value) >= 6 and reach[bisect_left(begins, b)] <= a and guess_cost(value, ranks) >= MIN_GUESSES:
                 found.append((a, 3, b, a))
     return sorted(found)
 
 
+def prose(text: str) -> str:
+    """The text in lower case, the values of patterns and credential contexts left out."""
+    low = text.lower()
+    text = HEX.sub(" ", ACCESS.sub(" ", text))
+    if any(h in low for h in HINTS):
+        for pattern, value in ((ASSIGN, 2), (CONTEXT, 1)):
+            text = pattern.sub(lambda m, value=value: m[0][: m.start(value) - m.start()] + " ", text)
+    return text.lower()
+
+
+def lexicon(docs: DataFrame, size: int = LEXICON) -> dict[str, int]:
+    """Ranks of the words: ``WORDS``, then the ``size`` most frequent words of all documents (ties by the word)."""
+    schema = pa.schema([("word", pa.string()), ("n", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = Counter()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                counts.update(WORD.findall(prose(text)))
+                if len(counts) > FLUSH:
+                    yield arrow_batch(schema, {"word": list(counts), "n": list(counts.values())})
+                    counts.clear()
+        yield arrow_batch(schema, {"word": list(counts), "n": list(counts.values())})
+
+    counted = docs.filter("text is not null").select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    found = [r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(size).collect()]  # ``size`` rows at most
+    return {w: i for i, w in enumerate(dict.fromkeys([*WORDS, *found]), 1)}
+
+
 def spans_text(found: list[tuple[int, int, int, int]]) -> str:
     return ",".join(f"{KINDS[kind]}:{a}:{b}" for a, kind, b, _ in found)
 
@@ -161,11 +194,13 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n_assign", pa.int64()), ("n_access", pa.int64()), ("n_hex", pa.int64()),
                         ("base_sha256", pa.string()), ("spans", pa.string()), ("n_value", pa.int64())])
 
+    known = docs.sparkSession.sparkContext.broadcast(lexicon(docs))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = {f.name: [] for f in schema}
             for text in batch.column(1).to_pylist():
-                found = scan(text or "")
+                found = scan(text or "", known.value)
                 kinds = [kind for _, kind, _, _ in found]
                 for k, name in enumerate(("n_assign", "n_access", "n_hex", "n_value")):
                     out[name].append(kinds.count(k))
@@ -178,12 +213,12 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ddl)
 
 
-def mask(text: str | None) -> str | None:
+def mask(text: str | None, ranks: dict[str, int] = RANK) -> str | None:
     """The text with each secret replaced; keywords stay."""
     if text is None:
         return None
     out, at = [], 0
-    for _, _, end, secret in sorted(scan(text), key=lambda x: (x[3], -x[2])):
+    for _, _, end, secret in sorted(scan(text, ranks), key=lambda x: (x[3], -x[2])):
         if end > at:
             if secret >= at:
                 out += [text[at:secret], MASK]
@@ -194,9 +229,11 @@ def mask(text: str | None) -> str | None:
 def redacted(docs: DataFrame) -> DataFrame:
     """``docs`` with the secrets in their texts masked; n_chars, where it is a column, follows the text."""
 
+    known = docs.sparkSession.sparkContext.broadcast(lexicon(docs))
+
     @F.pandas_udf("string")
     def masked(texts: pd.Series) -> pd.Series:
-        return pd.Series([mask(t) for t in texts], dtype=object)
+        return pd.Series([mask(t, known.value) for t in texts], dtype=object)
 
     out = docs.withColumn("text", masked("text"))
     if "n_chars" in docs.columns:
