@@ -4,7 +4,7 @@ The patterns find assignments, access keys and long hex runs. Besides, the value
 a credential context (``CONTEXT``) is scored as a password: dynamic programming
 finds its cheapest segmentation into words, dates, repeats, keyboard walks and
 brute-force spans, costs being log10 of the guesses each needs. A word costs its rank
-in a lexicon: ``WORDS``, then the ``LEXICON`` most frequent words of all documents, counted
+in a lexicon: ``WORDS``, then the most frequent words (``LEXICON`` at most) of all documents, counted
 outside the values of credential contexts and patterns; a run of letters that is no such word is
 guessed letter by letter. Values of at least ``MIN_GUESSES`` that overlap no pattern become
 spans of kind ``value``.
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from otif.llm.common import arrow_batch
+from otif.llm.common import Staging, arrow_batch
 
 KINDS = ("assign", "access", "hex", "value")
 MIN_GUESSES = 10.0  # log10
@@ -57,7 +57,7 @@ WORDS = (
     "required optional expired invalid missing hidden placeholder redacted removed"
 ).split()
 RANK = {w: i + 1 for i, w in enumerate(dict.fromkeys(WORDS))}
-LEXICON = 50_000  # words taken from the documents
+LEXICON = 50_000  # words taken from the documents at most
 LONGEST = 20  # letters of a word of the lexicon
 FLUSH = 200_000  # words that a task counts before it passes them on
 KEY_ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
@@ -167,7 +167,11 @@ def prose(text: str) -> str:
 
 
 def lexicon(docs: DataFrame, size: int = LEXICON) -> dict[str, int]:
-    """Ranks of the words: ``WORDS``, then the ``size`` most frequent words of all documents (ties by the word)."""
+    """Ranks of the words: ``WORDS``, then the most frequent words of all documents (ties by the word).
+
+    Words are taken by whole classes of frequency, an eighth of a power of two each, as
+    long as there are ``size`` words at most; so no more than these reach the driver.
+    """
     schema = pa.schema([("word", pa.string()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,8 +185,16 @@ def lexicon(docs: DataFrame, size: int = LEXICON) -> dict[str, int]:
         yield arrow_batch(schema, {"word": list(counts), "n": list(counts.values())})
 
     counted = docs.filter("text is not null").select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    found = [r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(size).collect()]  # ``size`` rows at most
-    return {w: i for i, w in enumerate(dict.fromkeys([*WORDS, *found]), 1)}
+    staging = Staging(docs.sparkSession, "lexicon")
+    counted = staging.put(counted.withColumn("class", F.floor(F.log2("n") * 8).cast("int")), "counted")
+    words, least = 0, 8 * 64
+    for frequency, n in sorted(map(tuple, counted.groupBy("class").count().collect()), reverse=True):  # 8 * 64 rows at most
+        if (words := words + n) > size:
+            break
+        least = frequency
+    found = sorted((-r["n"], r["word"]) for r in counted.filter(F.col("class") >= least).select("word", "n").collect())
+    staging.drop("counted")
+    return {w: i for i, w in enumerate(dict.fromkeys([*WORDS, *(word for _, word in found)]), 1)}
 
 
 def spans_text(found: list[tuple[int, int, int, int]]) -> str:
