@@ -535,6 +535,35 @@ SELECT a.WERKS AS branch_code, a.MANDT AS sap_client_id, a.EBELN AS purchase_ord
        CASE WHEN a.WERKS IS NULL THEN 'NOT_APPLICABLE' WHEN b.branch_name IS NULL THEN 'UNMAPPED' ELSE 'MAPPED' END
          AS branch_mapping_status, CAST({AS_OF} AS VARCHAR) AS as_of_date
 FROM allocations a LEFT JOIN branches b ON b.branch_code = a.WERKS WHERE a.WERKS = '{BRANCH}'""")
+    place = "row_number() OVER (ORDER BY {o}) AS listing_position"
+    q["ranking_listing"] = _with(f"""
+SELECT CAST(report_month AS VARCHAR) AS report_month, CAST(worst_supplier_rank AS BIGINT) AS worst_supplier_rank, supplier_id, supplier_name,
+       {dbl('performance_score')} AS performance_score, {place.format(o='report_month NULLS FIRST, worst_supplier_rank')}
+FROM pub_worst WHERE {scope_all}""")
+    q["supplier_listing"] = _with(f"""
+SELECT CAST(report_month AS VARCHAR) AS report_month, supplier_id, {dbl('performance_score')} AS performance_score,
+       CAST(evaluated_schedule_line_count AS BIGINT) AS evaluated_schedule_line_count,
+       {place.format(o='report_month NULLS FIRST, performance_score ASC NULLS LAST, supplier_id NULLS FIRST')}
+FROM pub_monthly WHERE {scope_all}""")
+    q["evidence_listing"] = _with(f"""
+SELECT CAST(p.report_month AS VARCHAR) AS report_month, p.LIFNR AS supplier_id, p.MANDT AS sap_client_id, p.EBELN AS purchase_order_id,
+       p.EBELP AS purchase_order_item_id, p.ETENR AS schedule_line_id, {place.format(o='p.report_month, p.LIFNR, p.MANDT, p.EBELN, p.EBELP, p.ETENR')}
+FROM sched_perf p JOIN (SELECT DISTINCT report_month, supplier_id FROM pub_worst WHERE {scope_all}) w
+  ON w.supplier_id = p.LIFNR AND w.report_month = p.report_month""")
+    q["performance_listing"] = _with(f"""
+SELECT EBELN AS purchase_order_id, EBELP AS purchase_order_item_id, CAST(EINDT AS VARCHAR) AS scheduled_delivery_date, ETENR AS schedule_line_id,
+       LIFNR AS supplier_id, {dbl('allocated_quantity')} AS allocated_quantity, {place.format(o='EBELN, EBELP, EINDT NULLS FIRST, ETENR')}
+FROM sched_perf WHERE WERKS = '{BRANCH}'""")
+    q["balance_listing"] = _with(f"""
+SELECT MANDT AS sap_client_id, CAST(WADAT_IST AS VARCHAR) AS actual_delivery_date, VBELN AS delivery_id, POSNR AS delivery_item_id,
+       {dbl('unallocated_quantity')} AS unallocated_quantity, allocation_status, {place.format(o='MANDT, WADAT_IST NULLS FIRST, VBELN, POSNR')}
+FROM balance WHERE WERKS = '{BRANCH}'""")
+    q["item_listing"] = _with(f"""
+SELECT WERKS AS branch_code, EBELN AS purchase_order_id, EBELP AS purchase_order_item_id, LIFNR AS supplier_id,
+       {dbl('MENGE')} AS ordered_quantity, {place.format(o='EBELN, EBELP')}
+FROM order_items WHERE WERKS = '{BRANCH}' AND EBELP = '00010'""")
+    q["quality_listing"] = _with(_select(_cols("reason:s item_or_record_count:i listing_position:i"),
+                                         "(SELECT *, row_number() OVER (ORDER BY reason) AS listing_position FROM quality) t"))
     label = ("b.branch_name, CASE WHEN {w} IS NULL THEN 'NOT_APPLICABLE' WHEN b.branch_name IS NULL THEN 'UNMAPPED' "
              "ELSE 'MAPPED' END AS branch_mapping_status, CAST(" + AS_OF + " AS VARCHAR) AS as_of_date")
     q["order_items_mart"] = _with(f"""

@@ -11,6 +11,7 @@ to the shared checkpoint folder and reused by later queries of the same session.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
@@ -22,7 +23,7 @@ from pyspark.sql import types as T
 from otif.functions import normalise, normalise_code, parse_date, parse_number
 from otif.functions.reasons import has_reasons, reasons
 from otif.model import ITEM_KEY, SCHEDULE_KEY, SPECS, VERSION_COLUMN, BINDING_PARAMS
-from otif.operators import access, checks, datasets, review, versions
+from otif.operators import access, checks, datasets, listing, review, versions
 from otif.operators import fifo as fifo_ops
 from otif.operators import metrics as m
 from otif.plans import release
@@ -33,7 +34,7 @@ from otif.sources import csv
 from otif.sources.bindings import bronze_extracts
 
 PARAMS = BINDING_PARAMS
-REVIEW_BRANCH = "2100"
+REVIEW_BRANCH, REVIEW_ITEM = "2100", "00010"
 
 
 @dataclass
@@ -362,6 +363,55 @@ def q_drill_down(spark, sf):
     return comparable(out)
 
 
+def listed(ctx: Context, frame: DataFrame, order, name: str, *columns: str) -> DataFrame:
+    """``columns`` of all rows with their positions, read from a listing written in this order."""
+    path = f"{ctx.stager.path(name)}-{uuid.uuid4().hex}"
+    return comparable(listing.write_listing(frame, order, path).rows().select(*columns, listing.POSITION))
+
+
+def q_ranking_listing(spark, sf):
+    ctx = context(spark, sf)
+    return listed(ctx, review.ranking_listing(ctx.pub_worst, review.ALL), ["report_month", "worst_supplier_rank"], "ranking_listing",
+                  "report_month", "worst_supplier_rank", "supplier_id", "supplier_name", "performance_score")
+
+
+def q_supplier_listing(spark, sf):
+    ctx = context(spark, sf)
+    order = ["report_month", F.col("performance_score").asc_nulls_last(), "supplier_id"]
+    return listed(ctx, review.supplier_listing(ctx.pub_monthly, review.ALL), order, "supplier_listing",
+                  "report_month", "supplier_id", "performance_score", "evaluated_schedule_line_count")
+
+
+def q_evidence_listing(spark, sf):
+    ctx = context(spark, sf)
+    out = review.ranked_evidence(ctx.pub_schedules, ctx.pub_worst, review.ALL)
+    return listed(ctx, out, review.EVIDENCE_ORDER, "evidence_listing", *review.EVIDENCE_ORDER)
+
+
+def q_performance_listing(spark, sf):
+    ctx = context(spark, sf)
+    out = ctx.pub_schedules.filter(review.optional_filters(branch=REVIEW_BRANCH))
+    return listed(ctx, out, review.PERFORMANCE_ORDER, "performance_listing", *review.PERFORMANCE_ORDER, "supplier_id", "allocated_quantity")
+
+
+def q_balance_listing(spark, sf):
+    ctx = context(spark, sf)
+    out = ctx.published(ctx.gold.balance).filter(review.optional_filters(branch=REVIEW_BRANCH))
+    return listed(ctx, out, review.BALANCE_ORDER, "balance_listing", *review.BALANCE_ORDER, "unallocated_quantity", "allocation_status")
+
+
+def q_item_listing(spark, sf):
+    """Order items of one branch and one item number."""
+    ctx = context(spark, sf)
+    out = ctx.published(ctx.order_items).filter(review.optional_filters(branch=REVIEW_BRANCH, po_item=REVIEW_ITEM))
+    return listed(ctx, out, review.ITEM_ORDER, "item_listing", *review.ITEM_ORDER, "supplier_id", "ordered_quantity")
+
+
+def q_quality_listing(spark, sf):
+    ctx = context(spark, sf)
+    return listed(ctx, review.quality_listing(ctx.gold.quality), ["reason"], "quality_listing", "reason", "item_or_record_count")
+
+
 def q_order_items_mart(spark, sf):
     ctx = context(spark, sf)
     return comparable(ctx.published(ctx.order_items))
@@ -458,6 +508,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "supplier_comparison": q_supplier_comparison,
     "ranked_evidence": q_ranked_evidence,
     "drill_down": q_drill_down,
+    "ranking_listing": q_ranking_listing,
+    "supplier_listing": q_supplier_listing,
+    "evidence_listing": q_evidence_listing,
+    "performance_listing": q_performance_listing,
+    "balance_listing": q_balance_listing,
+    "item_listing": q_item_listing,
+    "quality_listing": q_quality_listing,
     "order_items_mart": q_order_items_mart,
     "delivery_items_mart": q_delivery_items_mart,
     "schedule_lines_mart": q_schedule_lines_mart,
