@@ -1,10 +1,12 @@
 """Rule compiler: raw string extract → typed rows with ordered reason codes.
 
-``validate`` turns one :class:`~otif.model.TableSpec` into a lazy plan:
-collapse exact duplicates → keep the raw record as JSON → normalise text →
+``validate`` turns one :class:`~otif.model.TableSpec` into a plan (a table with
+parents first runs one aggregation that finds its frequent parent keys):
+collapse exact duplicates → normalise text beside the raw fields →
 per-key variant counts (and version resolution for the versioned table) →
 parse dates and numbers → parent lookups → one projection that evaluates every
-rule into ``_dq_errors``. Valid rows, quarantine and the load summary are all
+rule into ``_dq_errors`` and writes the raw record of rejected and superseded
+rows as JSON. Valid rows, quarantine and the load summary are all
 filters/aggregates of that one frame (DQ-14), so the pipeline computes it once.
 """
 
@@ -30,7 +32,7 @@ LINEAGE = ("_source_occurrences", "_source_files", "_bronze_loaded_at")
 class Validated:
     """Every distinct raw variant of one source, validated.
 
-    ``rows`` holds all variants with ``_dq_errors``; older variants of resolved
+    ``rows`` holds all variants with ``_dq_errors`` (and ``_raw_record`` where rejected or superseded); older variants of resolved
     keys carry ``_superseded`` (and ``_selected_version``) instead of counting
     as valid or rejected. Valid rows, quarantine, archive and summary are all
     filters of ``rows``, so staging ``rows`` once serves every output.
@@ -71,9 +73,9 @@ def check_contract(name: str, spec: TableSpec, fields: list[str]) -> None:
         raise ValueError(f"bronze_{name}: missing columns {sorted(missing)}")
 
 
-def raw_record(fields: list[str]) -> Column:
-    """The raw source fields as JSON, nulls kept (PRJ-5)."""
-    return F.to_json(F.struct(*[F.col(c) for c in fields]), {"ignoreNullFields": "false"})
+def raw_record(fields: list[str], holder: str = "") -> Column:
+    """The raw source fields (of the struct ``holder``, where given) as JSON, nulls kept (PRJ-5)."""
+    return F.to_json(F.col(holder) if holder else F.struct(*[F.col(c) for c in fields]), {"ignoreNullFields": "false"})
 
 
 def validate(name: str, bronze: DataFrame, parents: Mapping[str, DataFrame],
@@ -85,7 +87,7 @@ def validate(name: str, bronze: DataFrame, parents: Mapping[str, DataFrame],
 
     frame = versions.collapse_duplicates(bronze, fields).select(
         *[normalise_code(c).alias(c) for c in fields], *LINEAGE,
-        raw_record(fields).alias("_raw_record"),
+        F.struct(*[F.col(c) for c in fields]).alias("_raw"),
     )
     # Parsed values replace their text; the text is only needed for the rule.
     frame = frame.select(
@@ -126,22 +128,25 @@ def validate(name: str, bronze: DataFrame, parents: Mapping[str, DataFrame],
         frame = frame.withColumn("_is_deleted", F.coalesce(F.col("LOEKZ") == DELETED_FLAG, F.lit(False)))
 
     lookups = REFERENCES.get(name, ())
+    salts = refs.frequent_keys(bronze, lookups, normalise_code)
     for ref in lookups:
-        frame = refs.lookup(frame, parents[ref.parent], ref)
+        frame = refs.lookup(frame, parents[ref.parent], ref, salts[ref.label])
     rules += refs.unresolved_rules(lookups)
     rules += refs.agreement_rules(AGREEMENTS.get(name, ()))
 
-    helpers = {"_key_variants", "_latest_version", "_can_resolve", "_superseded", "_selected_version"}
+    helpers = {"_key_variants", "_latest_version", "_can_resolve", "_superseded", "_selected_version", "_raw"}
     keep = [c for c in frame.columns
             if not c.startswith(("_ref_", "_parsed_", "_text_")) and c not in helpers
             and c not in spec.numbers]
     frame = frame.select(
         *keep,
         *[F.col(f"_parsed_{c}").alias(c) for c in spec.numbers],
-        reasons(rules).alias("_dq_errors"),
+        "_raw", reasons(rules).alias("_dq_errors"),
         F.current_timestamp().alias("_processed_at"),
         F.col("_superseded"), selected.alias("_selected_version"),
     )
+    needed = F.col("_superseded") | has_reasons("_dq_errors")
+    frame = frame.withColumn("_raw_record", F.when(needed, raw_record(fields, "_raw"))).drop("_raw")
     return Validated(name, spec, frame)
 
 

@@ -4,10 +4,12 @@ A plain ``sum(..).over(partitionBy(key).orderBy(..))`` sends every row of a key
 to one task; a key holding a third of all rows then serialises a third of the
 job. Here rows are range-partitioned on ``(key, order)`` into ordered slices
 (Spark samples the data for the slice bounds), so one hot key spans many
-slices that are scanned in parallel. Each slice contributes one total row per
-key; an exclusive running sum over those few rows (at most the number of
-slices per key) gives every slice its offset, which is joined back on
-``(key, slice)``. Every input takes this path, whatever its size.
+slices that are scanned in parallel. Of the keys in a slice only the first can
+have begun in an earlier one, and only the last can go on in a later one, so
+the sums handed from slice to slice are those of two keys a slice: at most
+twice as many rows as slices, broadcast to the scanned rows. The rows
+themselves move twice, into the ranges and to their scan by ``(key, slice)``.
+Every input takes this path, whatever its size.
 """
 
 from __future__ import annotations
@@ -24,6 +26,16 @@ def default_slices(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def border_sums(ranged: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """``_off_<name>`` per (slice, key) for the first and last key of each slice: its sums in earlier slices."""
+    key = F.struct(*keys)
+    edges = ranged.groupBy("_slice").agg(F.min(key).alias("_first"), F.max(key).alias("_last"))
+    totals = (ranged.join(F.broadcast(edges), "_slice").filter((key == F.col("_first")) | (key == F.col("_last")))
+              .groupBy("_slice", *keys).agg(*[F.sum(f"_val_{name}").alias(f"_tot_{name}") for name in names]))
+    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(*keys, "_slice", *[F.sum(f"_tot_{name}").over(before).alias(f"_off_{name}") for name in names])
+
+
 def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                  values: Mapping[str, Column], slices: int | None = None) -> DataFrame:
     """Add an inclusive running sum column per ``values`` entry.
@@ -35,7 +47,7 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     n = slices or default_slices(df)
     keys, order = list(keys), list(order)
     names = list(values)
-    # The slice id must be fixed once: both the local scan and the slice totals
+    # The slice id must be fixed once: both the local scan and the border sums
     # read it, and a re-planned or re-sampled exchange could otherwise move a
     # row to another slice between the two reads. A reliable checkpoint (in
     # ``spark.checkpoint.dir``) pins it and cuts the lineage at this point.
@@ -47,12 +59,7 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     within = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     local = ranged.select("*", *[F.sum(f"_val_{name}").over(within).alias(f"_run_{name}") for name in names])
-    # One row per (key, slice): the slice totals, then offsets = totals of earlier slices.
-    totals = ranged.groupBy(*keys, "_slice").agg(*[F.sum(f"_val_{name}").alias(f"_tot_{name}") for name in names])
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, "_slice", *[
-        F.sum(f"_tot_{name}").over(before).alias(f"_off_{name}") for name in names])
-    joined = local.join(offsets, [*keys, "_slice"], "inner")
+    joined = local.join(F.broadcast(border_sums(ranged, keys, names)), [*keys, "_slice"], "left")
     return joined.select(
         *[c for c in df.columns],
         *[(F.col(f"_run_{name}") + F.coalesce(F.col(f"_off_{name}"), F.lit(0))).alias(name)

@@ -418,6 +418,9 @@ GROUP BY n.MANDT, n.EBELN HAVING count(*) > 1""", [("ekko_n", _ekko_norm(ekko_f)
         f"SELECT source_table, candidate_key, _raw AS raw_record, {big('_occ')} AS source_occurrences, "
         f"{arr('_files')} AS source_files, {dstr('reference_date')} AS reference_date, "
         f"{dstr('selected_reference_date')} AS selected_reference_date, selection_rule FROM sup_ekko")
+    q["reference_check_hot_keys"] = _with(
+        "SELECT t.MANDT, t.EBELN, t.EBELP, t.WERKS, r.WERKS IS NOT NULL AS is_mapped, r.BRANCH_NAME AS branch_name "
+        "FROM s_ekpo t LEFT JOIN v_branch_mapping r ON r.WERKS = t.WERKS")
     q["reference_check"] = _with(
         "SELECT MANDT, VBELN, POSNR, list_contains(_err, 'UNRESOLVED_REFERENCE:order_item') AS unresolved_order_item, "
         "list_contains(_err, 'UNRESOLVED_REFERENCE:delivery') AS unresolved_delivery, "

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
-from otif.model import SPECS
+from otif.model import REFERENCES, SPECS
 from otif.operators import quality, reconcile
 from otif.operators.quality import Validated
 
@@ -37,28 +39,38 @@ class Silver:
 
 def run_silver(bronze: Mapping[str, DataFrame], stage: Stage | None = None,
                only: tuple[str, ...] | None = None) -> Silver:
-    """Validate sources in dependency order (parents first).
+    """Validate sources in dependency order (parents first), those of one rank together.
 
     ``stage`` may materialise each validated frame (the pipeline writes it to the
     shared folder and reads it back) so children and outputs reuse one result.
     ``only`` limits the run to the named sources and the parents they need.
     """
     wanted = set(SPECS) if only is None else _with_parents(only)
-    parents: dict[str, DataFrame] = {}
-    out: dict[str, Validated] = {}
+    done: dict[str, Validated] = {}
+
+    def validated(name: str) -> Validated:
+        v = quality.validate(name, bronze[name], {n: p.valid for n, p in done.items()})
+        return v if stage is None else Validated(v.name, v.spec, stage(v.rows, f"silver_{name}"))
+
+    ranks: dict[int, list[str]] = {}
     for name in SPECS:
-        if name not in wanted:
-            continue
-        v = quality.validate(name, bronze[name], parents)
-        if stage is not None:
-            v = Validated(v.name, v.spec, stage(v.rows, f"silver_{name}"))
-        out[name] = v
-        parents[name] = v.valid
-    return Silver(out, bronze)
+        if name in wanted:
+            ranks.setdefault(_rank(name), []).append(name)
+    for _, names in sorted(ranks.items()):
+        # Tables of a rank do not read each other: their jobs share the cluster.
+        target = inheritable_thread_target(bronze[names[0]].sparkSession)(validated)
+        with ThreadPoolExecutor(len(names)) as pool:
+            results = list(pool.map(target, names))
+        done.update(zip(names, results))
+    return Silver({n: done[n] for n in SPECS if n in done}, bronze)
+
+
+def _rank(name: str) -> int:
+    """0 for a source without parents, else one more than its highest parent."""
+    return max((1 + _rank(r.parent) for r in REFERENCES.get(name, ())), default=0)
 
 
 def _with_parents(names: tuple[str, ...]) -> set[str]:
-    from otif.model import REFERENCES
     todo, seen = list(names), set()
     while todo:
         n = todo.pop()
