@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from otif.model import ALLOCATION_RULE
-from otif.operators.scan import running_sums
+from otif.operators.scan import running_sums, written
 
 EXACT = "decimal(37,6)"
 
@@ -61,7 +61,9 @@ def _sweep(plans, deliveries, keys, plan_cols, delivery_cols, order, plan_qty, d
     both = plans.select(*keys, *plan_cols, F.lit("p").alias("_side"), F.col(plan_qty).alias("_qty")).unionByName(
         deliveries.select(*keys, *delivery_cols, F.lit("d").alias("_side"), F.col(delivery_qty).alias("_qty")),
         allowMissingColumns=True)  # a side's rows have nulls in the other's order columns, so each keeps its own order
-    ends = running_sums(both, [*keys, "_side"], dict.fromkeys(order), {"_end": F.col("_qty"), "_count": F.lit(1)}, slices)
+    # Read three times (cuts, plans, deliveries), each time in part: scanned once and written.
+    ends = written(running_sums(both, [*keys, "_side"], dict.fromkeys(order), {"_end": F.col("_qty"), "_count": F.lit(1)},
+                                slices))
 
     def side(tag: str, columns: list[str]) -> DataFrame:
         return ends.filter(F.col("_side") == tag).select(

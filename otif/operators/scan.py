@@ -14,6 +14,7 @@ Every input takes this path, whatever its size.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,6 +27,14 @@ def default_slices(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def written(frame: DataFrame) -> DataFrame:
+    """``frame`` as a table written in the shared checkpoint folder; runs a job."""
+    spark = frame.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/otif-scans/{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
 def border_sums(ranged: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
     """``_off_<name>`` per (slice, key) for the first and last key of each slice: its sums in earlier slices."""
     key = F.struct(*keys)
@@ -49,13 +58,12 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     names = list(values)
     # The slice id must be fixed once: both the local scan and the border sums
     # read it, and a re-planned or re-sampled exchange could otherwise move a
-    # row to another slice between the two reads. A reliable checkpoint (in
-    # ``spark.checkpoint.dir``) pins it and cuts the lineage at this point.
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = (df.select("*", *[expr.alias(f"_val_{name}") for name, expr in values.items()])
-              .repartitionByRange(n, *keys, *order)
-              .withColumn("_slice", F.spark_partition_id())
-              .checkpoint(eager=True))
+    # row to another slice between the two reads. A table written in
+    # ``spark.checkpoint.dir`` pins it and cuts the lineage at this point; the
+    # border sums then read the key and value columns only.
+    ranged = written(df.select("*", *[expr.alias(f"_val_{name}") for name, expr in values.items()])
+                     .repartitionByRange(n, *keys, *order)
+                     .withColumn("_slice", F.spark_partition_id()))
     within = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     local = ranged.select("*", *[F.sum(f"_val_{name}").over(within).alias(f"_run_{name}") for name in names])
