@@ -1,15 +1,18 @@
 """DuckDB oracle: the same results written as plain SQL over the shared tables.
 
 Used by the driver's correctness gate and the tests. It shares only the raw
-extract texts (``otif.sources.bindings``) and the fixed rule values with the
-Spark operators; every transformation is re-stated here in SQL, using the
+extract texts (``otif.sources.bindings``) and the cutoff with the Spark operators;
+contracts, lookups and agreement rules are stated here a second time, so a wrong
+value on one side shows, and every transformation is re-stated in SQL, using the
 straightforward formulations (windows per key, the per-key interval-overlap
 join for FIFO) that the Spark side deliberately avoids for scale.
 """
 
 from __future__ import annotations
 
-from otif.model import (AGREEMENTS, DELETED_FLAG, NUMBER_PATTERN, REFERENCES, SPECS, UPPERCASE_FIELDS, BINDING_PARAMS)
+from dataclasses import dataclass
+
+from otif.model import BINDING_PARAMS
 from otif.sources.bindings import EXTRACTS, duckdb_extract
 
 PARAMS = BINDING_PARAMS
@@ -27,13 +30,65 @@ RAW_FIELDS = {
     "likp": ["MANDT", "VBELN", "LIFNR", "WADAT_IST", "WERKS"],
     "lips": ["MANDT", "VBELN", "POSNR", "EBELN", "EBELP", "MATNR", "LFIMG", "MEINS", "WERKS"],
 }
-_NUM_RE = NUMBER_PATTERN.strip("^$")
+# Fixed values, stated apart from ``otif.model``: table | key | required | dates | numbers; ``*`` marks numbers
+# that may not be zero.
+CONTRACTS = """
+branch_mapping | WERKS                   | BRANCH_NAME                         |             |
+lfa1           | LIFNR                   | NAME1                               |             |
+mara           | MATNR                   | MEINS                               |             |
+ekko           | MANDT EBELN             | LIFNR BEDAT                         | BEDAT AEDAT |
+ekpo           | MANDT EBELN EBELP       | MATNR MENGE MEINS WERKS             |             | MENGE* NETPR NETWR
+eket           | MANDT EBELN EBELP ETENR | EINDT MENGE                         | EINDT       | MENGE* WEMNG
+likp           | MANDT VBELN             | LIFNR WADAT_IST WERKS               | WADAT_IST   |
+lips           | MANDT VBELN POSNR       | EBELN EBELP MATNR LFIMG MEINS WERKS |             | LFIMG*
+"""
+# child | parent | key | label | carried fields
+LOOKUPS = """
+ekko | lfa1 | LIFNR             | vendor     |
+ekpo | ekko | MANDT EBELN       | order      |
+ekpo | mara | MATNR             | material   | MEINS
+eket | ekpo | MANDT EBELN EBELP | order_item |
+likp | lfa1 | LIFNR             | vendor     |
+lips | ekpo | MANDT EBELN EBELP | order_item | MATNR MEINS WERKS
+lips | likp | MANDT VBELN       | delivery   | LIFNR WERKS
+lips | ekko | MANDT EBELN       | order      | LIFNR
+"""
+# child | one side | other side | reason
+MUST_AGREE = """
+ekpo | t.MEINS           | r_material.f_MEINS   | UNIT_MISMATCH:MARA
+lips | t.MATNR           | r_order_item.f_MATNR | ORDER_ITEM_MISMATCH:MATNR
+lips | t.MEINS           | r_order_item.f_MEINS | ORDER_ITEM_MISMATCH:MEINS
+lips | t.WERKS           | r_order_item.f_WERKS | ORDER_ITEM_MISMATCH:WERKS
+lips | t.WERKS           | r_delivery.f_WERKS   | DELIVERY_MISMATCH:WERKS
+lips | r_order.f_LIFNR   | r_delivery.f_LIFNR   | SUPPLIER_MISMATCH
+"""
+UPPER_CASED = {"MEINS", "WAERS", "LAND1", "LOEKZ"}
+DELETED = "L"
+_NUM_RE = r"[+-]?\d+([.,]\d{1,6})?"
+
+
+def _rows(table: str) -> list[list[str]]:
+    return [[cell.strip() for cell in line.split("|")] for line in table.strip().splitlines()]
+
+
+@dataclass(frozen=True)
+class Contract:
+    key: list[str]
+    required: list[str]
+    dates: list[str]
+    numbers: list[str]
+    positive: list[str]
+
+
+SPECS = {name: Contract(key.split(), required.split(), dates.split(), numbers.replace("*", "").split(),
+                        [n[:-1] for n in numbers.split() if n.endswith("*")])
+         for name, key, required, dates, numbers in _rows(CONTRACTS)}
 
 
 def norm(c: str, alias: str = "") -> str:
     src = f"{alias}{c}"
     v = f"nullif(trim({src}), '')"
-    return f"upper({v})" if c in UPPERCASE_FIELDS else v
+    return f"upper({v})" if c in UPPER_CASED else v
 
 
 def date_sql(c: str) -> str:
@@ -98,22 +153,19 @@ def silver_ctes() -> list[tuple[str, str]]:
             if c in spec.positive:
                 rules.append((f"t._pn_{c} = 0", f"ZERO_QUANTITY:{c}"))
         extra = ""
-        if "LOEKZ" in spec.also_expected:
-            rules.append((f"t.LOEKZ IS NOT NULL AND t.LOEKZ <> '{DELETED_FLAG}'", "UNKNOWN_DELETE_STATUS"))
-            extra = f", coalesce(t.LOEKZ = '{DELETED_FLAG}', false) AS _is_deleted"
-        refcols = {}
-        for ref in REFERENCES.get(name, ()):
-            a = f"r_{ref.label}"
-            sel = ", ".join(list(ref.keys) + [f"{f} AS f_{f}" for f in ref.fields])
-            on = " AND ".join(f"{a}.{k} = t.{k}" for k in ref.keys)
-            joins.append(f"LEFT JOIN (SELECT {sel}, true AS found FROM v_{ref.parent}) {a} ON {on}")
-            rules.append((f"{a}.found IS NULL", f"UNRESOLVED_REFERENCE:{ref.label}"))
-            for f in ref.fields:
-                refcols[f"_ref_{ref.label}_{f}"] = f"{a}.f_{f}"
-        for ag in AGREEMENTS.get(name, ()):
-            left = refcols.get(ag.left, f"t.{ag.left}")
-            right = refcols.get(ag.right, f"t.{ag.right}")
-            rules.append((f"{left} IS NOT NULL AND {right} IS NOT NULL AND {left} <> {right}", ag.reason))
+        if "LOEKZ" in fields:
+            rules.append((f"t.LOEKZ IS NOT NULL AND t.LOEKZ <> '{DELETED}'", "UNKNOWN_DELETE_STATUS"))
+            extra = f", coalesce(t.LOEKZ = '{DELETED}', false) AS _is_deleted"
+        for child, parent, on_key, label, carried in _rows(LOOKUPS):
+            if child == name:
+                a = f"r_{label}"
+                sel = ", ".join(on_key.split() + [f"{f} AS f_{f}" for f in carried.split()])
+                on = " AND ".join(f"{a}.{k} = t.{k}" for k in on_key.split())
+                joins.append(f"LEFT JOIN (SELECT {sel}, true AS found FROM v_{parent}) {a} ON {on}")
+                rules.append((f"{a}.found IS NULL", f"UNRESOLVED_REFERENCE:{label}"))
+        for child, left, right, reason in _rows(MUST_AGREE):
+            if child == name:
+                rules.append((f"{left} IS NOT NULL AND {right} IS NOT NULL AND {left} <> {right}", reason))
         plain = [c for c in fields if c not in spec.dates and c not in spec.numbers]
         out = ([f"t.{c}" for c in plain] + [f"t._pd_{c} AS {c}" for c in spec.dates]
                + [f"t._pn_{c} AS {c}" for c in spec.numbers])
