@@ -82,6 +82,8 @@ class Release:
     def write(self, frame: DataFrame, name: str, layer: str, partition_by: str | None = None, **observed: Column) -> DataFrame:
         """Write a table and read it back; ``observed`` aggregates of its rows are taken while writing (``metrics``)."""
         seen = Observation()
+        if partition_by:  # rows of a partition are brought together: large ones in several files, small ones in one
+            frame = frame.hint("rebalance", partition_by)
         frame = frame.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in observed.items()])
         writer = frame.write.partitionBy(partition_by) if partition_by else frame.write
         path = f"{layer}/{name}" if layer else name

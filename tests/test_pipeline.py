@@ -85,6 +85,20 @@ def test_a_failed_run_leaves_the_published_one(spark, landing, monkeypatch):
     assert release.sweep(spark, out) == [lost.run] and published(spark, out) == before
 
 
+def test_a_partition_has_one_file_unless_it_is_large(spark):
+    out = tempfile.mkdtemp(prefix="otif-out-")
+    run = release.Release(spark, out)
+    rows = spark.range(9000).repartition(8).select("id", (F.col("id") % 3).alias("m"))
+    run.write(rows, "x", "gold", "m")
+    files = {d: [f for f in os.listdir(f"{run.folder}/gold/x/{d}") if f.endswith(".parquet")]
+             for d in os.listdir(f"{run.folder}/gold/x") if d.startswith("m=")}
+    assert {d: len(f) for d, f in files.items()} == {"m=0": 1, "m=1": 1, "m=2": 1}
+    empty = run.write(rows.filter("id < 0"), "y", "gold", "m", evens=F.count_if(F.col("id") % 2 == 0))
+    assert empty.columns == ["id", "m"] and run.metric("gold_y", "evens") == 0
+    run.publish()
+    assert release.table(spark, out, "gold_x").count() == 9000
+
+
 def test_lost_files_are_not_published(spark):
     out = tempfile.mkdtemp(prefix="otif-out-")
     run = release.Release(spark, out)
