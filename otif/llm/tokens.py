@@ -19,7 +19,7 @@ from otif.llm.common import BYTES, polynomials
 
 END_ID = 0
 GROUP_CHARS = 1 << 20  # texts handled at a time: bounds the pieces in memory
-MEMO_PIECES = 600_000  # distinct pieces remembered: bounds the memo, not the texts
+MEMO_PIECES = 1_200_000  # distinct pieces remembered: bounds the memo, not the texts
 SLOTS = 1 << 20
 MARKS = ".,;:!?"
 
