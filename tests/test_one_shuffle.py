@@ -92,3 +92,11 @@ def test_profile_counts_with_a_hot_key(spark):
     # 100 copies of the hot key's records and one of y; three keys with several rows, the hot one differs in its names
     assert (got.exact_extra_rows_raw, got.duplicate_key_groups, got.conflicting_key_groups, got.unique_records) == (101, 3, 1, 81)
     assert {r.WERKS for r in profile.unique_records(df, ["WERKS"]).collect()} == {"y", *(f"k{i}" for i in range(80))}
+
+
+def test_extract_written_by_every_task(spark, tmp_path):
+    frame = spark.range(0, 90, 1, 3).select(F.col("id").cast("string").alias("k"), F.lit("a\nb").alias("t"))
+    csv.write_extract(frame, str(tmp_path / "x"), one_file=False)
+    assert len(list((tmp_path / "x").glob("part-*.csv"))) == 3
+    got = csv.read_extract(spark, str(tmp_path / "x"), ["k", "t"], multiline=True)
+    assert sorted(int(r.k) for r in got.collect()) == list(range(90))
