@@ -4,7 +4,8 @@ Texts are tokenized, ended with id 0 and, only where longer than the capacity,
 cut into full pieces after a shorter first one. Pieces of equal length are
 interchangeable, so the packing is planned on the length histogram (at most
 ``capacity`` rows, whatever the corpus) and pieces find their place by their rank
-among pieces of their length, from one range-partitioned sort. The plan: pieces
+among pieces of their length, from one range-partitioned sort. Ids take no part in
+that: they are joined to the placed pieces by the number of the written row. The plan: pieces
 above a third of the capacity go at most two to a sequence, the longest first,
 each with the longest partner that still fits; shorter pieces, longest first, go
 into the sequence with the smallest gap that holds them.
@@ -28,12 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from otif.llm.common import Staging, arrow_batch, prefix_sums, tidy
-from otif.llm.tokens import encode_texts
+from otif.llm.tokens import encode_texts, groups
 
 CAPACITY = 2048
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                     ("ids_crc32", pa.int64()), ("ids", pa.binary())])
-PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, {ids}sequence_id long, offset long"
+PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, {row}sequence_id long, offset long"
 
 
 @dataclass(frozen=True)
@@ -134,16 +135,18 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = {f.name: [] for f in schema}
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encode_texts(tokenizer, batch.column(1).to_pylist()), strict=True):
-                first = (len(ids) - 1) % capacity + 1
-                bounds = [0, *range(first, len(ids) + 1, capacity)]
-                for piece, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
-                    raw = ids[a:b].tobytes()
-                    row = {"doc_id": doc_id, "piece": piece, "start": a, "length": b - a, "ids_crc32": zlib.crc32(raw), "ids": raw}
-                    for name in out:
-                        out[name].append(row[name])
-            yield arrow_batch(schema, out)
+            doc_ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
+            for part in groups(texts):  # a batch of its own each: only the ids of one group are held
+                out = {f.name: [] for f in schema}
+                for doc_id, ids in zip(doc_ids[part], encode_texts(tokenizer, texts[part]), strict=True):
+                    first = (len(ids) - 1) % capacity + 1
+                    bounds = [0, *range(first, len(ids) + 1, capacity)]
+                    for piece, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
+                        raw = ids[a:b].tobytes()
+                        row = {"doc_id": doc_id, "piece": piece, "start": a, "length": b - a, "ids_crc32": zlib.crc32(raw), "ids": raw}
+                        for name in out:
+                            out[name].append(row[name])
+                yield arrow_batch(schema, out)
 
     ddl = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), ddl)
@@ -152,10 +155,12 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_i
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """Every piece with its sequence_id and offset; ``with_ids`` adds its ids (little-endian unsigned 32-bit)."""
     staging = Staging(docs.sparkSession, "packing")
-    pieces = staging.put(cut_pieces(docs, tokenizer, capacity, with_ids), "cut")  # written once: the range partitioning reads its input twice
-    pieces = pieces.withColumn("_one", F.lit(1).cast("long"))
+    cut = cut_pieces(docs, tokenizer, capacity, with_ids)
+    # Written once: the range partitioning reads its input twice, and ``_row`` must not change.
+    pieces = staging.put(cut.withColumn("_row", F.monotonically_increasing_id()) if with_ids else cut, "cut")
+    pieces_only = pieces.drop("ids").withColumn("_one", F.lit(1).cast("long"))
     order = ["length", "doc_id", "piece", "ids_crc32"]
-    ranked = prefix_sums(staging, pieces, order, {"_rank": "_one"}, "pieces")
+    ranked = prefix_sums(staging, pieces_only, order, {"_rank": "_one"}, "pieces")
     histogram = {r["length"]: r["count"] for r in ranked.groupBy("length").count().collect()}  # at most `capacity` rows
     below, base = {}, 0
     for length in sorted(histogram):
@@ -165,7 +170,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bo
         by_length[fill.length].append(fill)
     plan = {length: (below[length], np.array([(f.rank, f.each, f.sequence, f.offset) for f in fills], np.int64)) for length, fills in by_length.items()}
     shared = docs.sparkSession.sparkContext.broadcast(plan)  # bounded by the capacity, not by the corpus
-    names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", *["_row"] * with_ids]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,4 +186,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bo
             columns = [batch.column(batch.schema.names.index(c)) for c in names]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(sequence), pa.array(offset)], names=[*names, "sequence_id", "offset"])
 
-    return ranked.mapInArrow(place, PACKED.format(ids="ids binary, " * with_ids))
+    placed = ranked.mapInArrow(place, PACKED.format(row="_row long, " * with_ids))
+    if not with_ids:
+        return placed
+    return placed.join(pieces.select("_row", "ids"), "_row").select(*names[:-1], "ids", "sequence_id", "offset")

@@ -271,3 +271,26 @@ def test_long_texts_take_linear_time(model, piece):
     started = time.process_time()
     pii.scan(piece * 20_000, model)
     assert time.process_time() - started < 8 * once + 0.5
+
+
+def test_packing_ranks_pieces_without_their_ids(spark, docs_of, monkeypatch):
+    """The pipeline's packing stage: ids stay out of the sort and the Python passes, and each piece gets its own back."""
+    import zlib
+
+    from otif.llm import packing
+    from otif.llm.tokens import default_tokenizer
+
+    ranked = []
+    sums = packing.prefix_sums
+    monkeypatch.setattr(packing, "prefix_sums", lambda staging, df, *a: ranked.append(df.columns) or sums(staging, df, *a))
+    docs = docs_of([(1, "a b c"), (1, "a b c"), (1, "other words " * 1500), (2, None), (None, ""), (3, "c d " * 40)])
+    got = packing.pack(docs, default_tokenizer(), with_ids=True)
+    assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset"]
+    rows = got.collect()
+    assert ranked and all("ids" not in columns for columns in ranked)
+    assert all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in rows)
+    plain = packing.pack(docs, default_tokenizer()).collect()
+    facts = [sorted((str(r.doc_id), r.piece, r.length, r.ids_crc32) for r in x) for x in (rows, plain)]
+    assert facts[0] == facts[1]
+    taken = sorted((r.sequence_id, r.offset, r.length) for r in rows)
+    assert all(o == 0 if k == 0 or taken[k - 1][0] != s else o == taken[k - 1][1] + taken[k - 1][2] for k, (s, o, _) in enumerate(taken))
