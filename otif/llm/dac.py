@@ -27,8 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from otif.llm.common import Staging, arrow_batch
-from otif.llm.tokens import encode_texts
+from otif.llm.common import Staging, arrow_batch, parts
+from otif.llm.tokens import GROUP_CHARS, encode_texts
 
 MAGIC = b"DAC1"
 WIDTHS = (12, 4, 16)
@@ -143,8 +143,8 @@ def write_files(docs: DataFrame, tokenizer: str, folder: str, file_ids: int = FI
             store.move(mine, f"{root}/{name}")
             return arrow_batch(schema, {"part": [part], "file": [name], "documents": [len(arrays)], "ids": [size]})
 
-        for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encode_texts(tokenizer, batch.column(1).to_pylist()), strict=True):
+        for part_of in (p for batch in batches for p in parts(batch, 1, GROUP_CHARS)):
+            for doc_id, ids in zip(part_of.column(0).to_pylist(), encode_texts(tokenizer, part_of.column(1).to_pylist()), strict=True):
                 doc_ids.append(doc_id)
                 arrays.append(ids)
                 size += len(ids)
