@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from otif.llm.common import Staging, arrow_batch, prefix_sums, tidy
-from otif.llm.tokens import encode_texts, groups
+from otif.llm.common import Staging, arrow_batch, parts, prefix_sums, small_batches, tidy
+from otif.llm.tokens import GROUP_CHARS, encode_texts
 
 CAPACITY = 2048
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
@@ -135,10 +135,9 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for part in groups(texts):  # a batch of its own each: only the ids of one group are held
+            for part in parts(batch, 1, GROUP_CHARS):  # a batch of its own each: only the texts and ids of one part are held
                 out = {f.name: [] for f in schema}
-                for doc_id, ids in zip(doc_ids[part], encode_texts(tokenizer, texts[part]), strict=True):
+                for doc_id, ids in zip(part.column(0).to_pylist(), encode_texts(tokenizer, part.column(1).to_pylist()), strict=True):
                     first = (len(ids) - 1) % capacity + 1
                     bounds = [0, *range(first, len(ids) + 1, capacity)]
                     for piece, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
@@ -157,7 +156,8 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bo
     staging = Staging(docs.sparkSession, "packing")
     cut = cut_pieces(docs, tokenizer, capacity, with_ids)
     # Written once: the range partitioning reads its input twice, and ``_row`` must not change.
-    pieces = staging.put(cut.withColumn("_row", F.monotonically_increasing_id()) if with_ids else cut, "cut")
+    with small_batches(docs.sparkSession):
+        pieces = staging.put(cut.withColumn("_row", F.monotonically_increasing_id()) if with_ids else cut, "cut")
     pieces_only = pieces.drop("ids").withColumn("_one", F.lit(1).cast("long"))
     order = ["length", "doc_id", "piece", "ids_crc32"]
     ranked = prefix_sums(staging, pieces_only, order, {"_rank": "_one"}, "pieces")

@@ -26,13 +26,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from otif.llm.common import arrow_batch, release_memory, tidy
-from otif.llm.tokens import groups
+from otif.llm.common import arrow_batch, parts, release_memory, small_batches, tidy
 
 TRAIN_ROWS = 12_000
 MAX_FEATURES = 600
@@ -41,6 +39,7 @@ MIN_TOXIC = 3
 PREFIXES = (4, 5)  # ascending
 REJECT = 0.7
 MEMO = 60_000  # words remembered by a task
+PART_BYTES = 1 << 18  # of the texts that a worker holds as strings and arrays
 
 #: What a sign may stand for, and its channel cost (fixed values).
 IMITATES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "b", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i",
@@ -48,7 +47,7 @@ IMITATES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "b", "7": "t
 SIGN_COST, DROP_COST, KEEP_COST = 2.0, 1.0, 6.0
 
 SYMBOLS = 28  # 0: edge of a word, 1-26: a-z, 27: any other letter
-_CODES = np.zeros(256, np.int64)
+_CODES = np.zeros(256, np.int32)
 _CODES[97:123] = _CODES[65:91] = np.arange(1, 27)
 _CODES[192:] = 27  # a letter beyond ASCII counts once, by its first byte
 
@@ -68,9 +67,9 @@ def count_trigrams(docs: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SYMBOLS**3, np.int64)
         for batch in batches:
-            texts = [t or "" for t in batch.column(0).to_pylist()]
-            for part in groups(texts):
-                data = np.frombuffer(" ".join(["", *texts[part], ""]).encode("utf-8", "surrogatepass"), np.uint8)
+            for part in parts(batch, 0, PART_BYTES):
+                texts = [t or "" for t in part.column(0).to_pylist()]
+                data = np.frombuffer(" ".join(["", *texts, ""]).encode("utf-8", "surrogatepass"), np.uint8)
                 data = data[(data & 0xC0) != 0x80]
                 codes = _CODES[data]
                 first = (codes == 0) & np.concatenate([[True], codes[:-1] != 0])
@@ -79,7 +78,9 @@ def count_trigrams(docs: DataFrame) -> np.ndarray:
         at = np.flatnonzero(total)
         yield arrow_batch(schema, {"cell": at, "n": total[at]})
 
-    counted = docs.select("text").mapInArrow(tidy(run), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()  # at most SYMBOLS ** 3 rows
+    cells = docs.select("text").mapInArrow(tidy(run), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    with small_batches(docs.sparkSession):
+        counted = cells.collect()  # at most SYMBOLS ** 3 rows
     out = np.zeros(SYMBOLS**3, np.int64)
     for cell, n in counted:
         out[cell] = n
@@ -180,11 +181,11 @@ class Model:
         seen = self._features(text or "")
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.bias + sum(self.weights[f] for f in sorted(seen))))))
 
-    def scores(self, parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def scores(self, arrays: Iterator[pa.Array]) -> Iterator[np.ndarray]:
         """Scores of a task's texts; what was remembered is dropped at the task's end."""
         try:
-            for texts in parts:
-                yield pd.Series([self.score(t) for t in texts], dtype=float)
+            for texts in arrays:
+                yield np.fromiter((self.score(t.as_py()) for t in texts), float, len(texts))
         finally:
             self.memo.clear()
             release_memory()
@@ -206,8 +207,8 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, tuple[str, ...]] = {}
-        for batch in batches:
-            for row, toxic, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for part in (p for batch in batches for p in parts(batch, 2, PART_BYTES)):
+            for row, toxic, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 seen = set()
                 for token in tokens_of(text):
                     if token not in memo:
@@ -262,9 +263,10 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     """Per row: doc_id, held_out, score, predicted."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        return shared.value.scores(parts)
+    @F.arrow_udf("double")
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for scores in shared.value.scores(texts):
+            yield pa.array(scores)
 
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), score("text").alias("score"))
     return out.withColumn("predicted", F.when(F.col("score") >= REJECT, 1).otherwise(0))
@@ -274,9 +276,9 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` that score below ``REJECT``, with all their columns."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("boolean")
-    def clean(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for scores in shared.value.scores(parts):
-            yield scores < REJECT
+    @F.arrow_udf("boolean")
+    def clean(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for scores in shared.value.scores(texts):
+            yield pa.array(scores < REJECT)
 
     return docs.filter(clean("text"))
